@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -38,7 +39,7 @@ def sliced(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 8 <
         n = batch.num_rows
         if not n:
             continue
-        sizes = pa.compute.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+        sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
         part = np.cumsum(sizes) // most_bytes
         cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), n]
         for a, b in zip(cuts, cuts[1:], strict=False):

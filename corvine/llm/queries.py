@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvine.llm import line_dedup, sharding
+from corvine.llm import line_dedup, sharding, simhash_dedup
 from corvine.llm.common import documents
 
 
+def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = simhash_dedup.near_duplicates(documents(spark, sf_dir))
+    return rows.select("doc_id", simhash_dedup.hex_digits().alias("fingerprint"), "component_id")
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digests(documents(spark, sf_dir))
 
@@ -19,6 +24,7 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op6_line_dedup": op6_line_dedup,
     "op8_sharding": op8_sharding,
 }
