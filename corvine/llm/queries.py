@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvine.llm import line_dedup, sharding, simhash_dedup
+from corvine.llm import bpe, line_dedup, sharding, simhash_dedup
 from corvine.llm.common import documents
 
 
@@ -18,6 +18,10 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digests(documents(spark, sf_dir))
 
 
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(documents(spark, sf_dir))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sharding.assign(documents(spark, sf_dir))
     return rows.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -26,6 +30,7 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op6_line_dedup": op6_line_dedup,
+    "op7_bpe": op7_bpe,
     "op8_sharding": op8_sharding,
 }
 
