@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvine.llm import bpe, line_dedup, sharding, simhash_dedup
+from corvine.llm import bpe, language_id, line_dedup, sharding, simhash_dedup
 from corvine.llm.common import documents
 
 
@@ -14,6 +14,13 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", simhash_dedup.hex_digits().alias("fingerprint"), "component_id")
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    model = language_id.fit(docs.where(~language_id.held_out()))
+    rows = language_id.predict(docs, model)
+    return rows.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digests(documents(spark, sf_dir))
 
@@ -29,6 +36,7 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op5_language_id": op5_language_id,
     "op6_line_dedup": op6_line_dedup,
     "op7_bpe": op7_bpe,
     "op8_sharding": op8_sharding,

@@ -18,7 +18,7 @@ def both():
 
 def _texts():
     rnd = random.Random(1)
-    spans = [(32, 127), (0, 0x500), (0, 0x3000), (0x3000, 0xD7FF), (0xE000, 0x1FFFF)]
+    spans = [(32, 127), (0, 0x500), (0x2000, 0x3000), (0x3000, 0xD7FF), (0xE000, 0x1FFFF)]
     out = ["", " ", "<|endoftext|>", "a<|startoftext|>b <|endoftext|> ' s", "<| endoftext|>", "ΑΣ ΟΔΟΣ ΣΣ", "İstanbul \x1c\x1d x　y\x85z", "it's we'll I'D 12 ½²", "é ﬁ Å é"]
     out += ["a" * (LONG + 100) + " " + "ab" * 500, "thethe" * 300, "x" * LONG]
     return out + ["".join(chr(rnd.choice([rnd.randrange(*s) for s in spans])) for _ in range(rnd.randrange(60))) for _ in range(2000)]
