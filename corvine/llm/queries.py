@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvine.llm import bpe, language_id, line_dedup, sharding, simhash_dedup
+from corvine.llm import bpe, language_id, license_scan, line_dedup, sharding, simhash_dedup
 from corvine.llm.common import documents
 
 
@@ -34,12 +34,17 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op5_language_id": op5_language_id,
     "op6_line_dedup": op6_line_dedup,
     "op7_bpe": op7_bpe,
     "op8_sharding": op8_sharding,
+    "op9_license_scan": op9_license_scan,
 }
 
 _OP6 = r"""
@@ -58,4 +63,34 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, (count(*) FILTER (WHERE gone))::BIGI
 FROM judged GROUP BY doc_id
 """
 
-ORACLES = {"op6_line_dedup": _OP6}
+
+
+def _op9() -> str:
+    low = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    word = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+    values = ", ".join(f"({i}, '{label}', {sorted(set(license_scan.words_of(text)))})" for i, (label, text) in enumerate(license_scan.TEMPLATES))
+    return f"""
+WITH d AS (SELECT doc_id, regexp_extract_all({low}, {word}) AS w FROM documents),
+spots AS (
+  SELECT doc_id, i - 1 AS i, CASE WHEN w[i] = 'cc' AND w[i + 1] = 'by' THEN 'cc-by'
+    WHEN w[i] = 'general' AND w[i + 1] = 'public' AND w[i + 2] = 'license' THEN 'gpl'
+    WHEN w[i] = 'all' AND w[i + 1] = 'rights' AND w[i + 2] = 'reserved' THEN 'reserved' END AS label
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d)
+), base AS (
+  SELECT doc_id, count(*) AS n, min(i) AS a, max(i) AS b, list_sort(list(DISTINCT label)) AS l FROM spots WHERE label IS NOT NULL GROUP BY doc_id
+), t(id, label, known) AS (VALUES {values}),
+blocks AS (
+  SELECT doc_id, list_distinct(regexp_extract_all({low.replace("coalesce(text, '')", "line")}, {word})) AS b
+  FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents)
+), found AS (
+  SELECT doc_id, label, len(list_intersect(b, known)) / len(known) AS share FROM blocks, t WHERE len(list_intersect(b, known)) >= ceil({license_scan.THRESHOLD} * len(known) - 1e-9)
+), more AS (SELECT doc_id, list(DISTINCT label) AS l, max(share) AS share FROM found GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_base, a::BIGINT AS first_word, b::BIGINT AS last_word,
+  coalesce(array_to_string(base.l, ','), '') AS base_labels,
+  coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(base.l, []), coalesce(more.l, [])))), ','), '') AS labels,
+  CASE WHEN n > 0 THEN 1.0::DOUBLE ELSE coalesce(share, 0)::DOUBLE END AS score
+FROM d LEFT JOIN base USING (doc_id) LEFT JOIN more USING (doc_id)
+"""
+
+
+ORACLES = {"op6_line_dedup": _OP6, "op9_license_scan": _op9()}
