@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvine.llm import bpe, language_id, license_scan, line_dedup, sharding, simhash_dedup
-from corvine.llm.common import documents
+from corvine.llm import bpe, fingerprints, language_id, license_scan, line_dedup, sharding, simhash_dedup
+from corvine.llm.common import documents, durable
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,6 +14,20 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", simhash_dedup.hex_digits().alias("fingerprint"), "component_id")
 
 
+def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = durable(fingerprints.compared(documents(spark, sf_dir)))
+    # Search: documents with an id divisible by 20 against all; documents within 3 bits of each, itself included.
+    asked = rows.where("doc_id % 20 = 0")
+    counts = rows.groupBy("fp").agg(F.count(F.lit(1)).alias("n"))
+    near = fingerprints.within(asked, counts).join(counts, "fp").groupBy("q").agg(F.sum("n").alias("n_within_3"))
+    found = rows.join(near.withColumnRenamed("q", "fp"), "fp", "left")
+    return found.select(
+        "doc_id", "n_chars", "edited_sha256", simhash_dedup.hex_digits("fp").alias("fingerprint"),
+        simhash_dedup.hex_digits("edited_fp").alias("edited_fingerprint"), "near_edited", "near_next",
+        F.when(F.col("doc_id") % 20 == 0, F.col("n_within_3")).alias("n_within_3"),
+    )
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
     model = language_id.fit(docs.where(~language_id.held_out()))
@@ -40,6 +54,7 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op2_document_fingerprints": op2_document_fingerprints,
     "op5_language_id": op5_language_id,
     "op6_line_dedup": op6_line_dedup,
     "op7_bpe": op7_bpe,
