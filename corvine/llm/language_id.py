@@ -4,7 +4,8 @@ language, by cosine, with rejection by distance.
 Method. A text is lower-cased, everything but letters becomes a space, and the UTF-8 n-grams of 1 to 4 bytes are hashed into
 ``DIMS`` columns; counts are damped by 1 + ln, weighted by IDF and scaled to length one. Words with a digit in them count only where
 there is nothing else. Of the labelled rows a bounded sample trains: the ``SAMPLE`` rows a label (fewer, 20 at least, where all
-labels together would pass ``SAMPLE_ALL``) with the smallest hash of doc_id, whole texts; that bounds what reaches the driver. Each label's vectors are clustered by spherical k-means into up to ``CLUSTERS`` centroids. A text takes the label
+labels together would pass ``SAMPLE_ALL``), by expectation, with the smallest hashes of doc_id, whole texts; that bounds what
+reaches the driver. Each label's vectors are clustered by spherical k-means into up to ``CLUSTERS`` centroids. A text takes the label
 of the centroid with the largest cosine. The score is the share of that label in a softmax over the labels' best cosines. A
 text is rejected if its cosine is below a label's threshold: the smallest cosine of the label's own training vectors, less a
 margin; short texts have small cosines by nature, so the threshold falls with the square root of the number of n-grams.
@@ -27,7 +28,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from corvine.llm.common import sliced
 
@@ -118,21 +118,19 @@ def _spread(v: np.ndarray, k: int, rounds: int) -> np.ndarray:
 def fit(labelled: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS) -> Model:
     """Train on (doc_id, text, lang): at most ``sample`` rows a label reach the driver, chosen before the shuffle too."""
     rows = labelled.where("lang is not null and text is not null").select("doc_id", "text", "lang", F.xxhash64(F.col("doc_id").cast("string"), F.lit("language")).alias("_h"))
-    # Ids are ranked without texts, then the chosen rows are fetched.
-    labels = [r["lang"] for r in rows.groupBy("lang").count().select("lang").limit(MOST_LABELS + 1).collect()]
-    if len(labels) > MOST_LABELS:
+    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().limit(MOST_LABELS + 1).collect()}
+    if len(sizes) > MOST_LABELS:
         raise ValueError(f"over {MOST_LABELS} labels")
-    if not labels:
+    if not sizes:
         return Model()
-    sample = min(sample, max(20, SAMPLE_ALL // len(labels)))
-    by = Window.partitionBy("lang").orderBy("_h", "doc_id")
-    chosen = rows.select("doc_id", "lang", "_h").withColumn("_at", F.row_number().over(by)).where(F.col("_at") <= sample)
-    bound = F.create_map(*[x for r in chosen.groupBy("lang").agg(F.max("_h").alias("h")).collect() for x in (F.lit(r["lang"]), F.lit(r["h"]))])
-    picked = rows.where(F.col("_h") <= F.try_element_at(bound, F.col("lang")))
+    # Of each label the share of hash values that holds about ``sample`` rows: no sort, and nothing is dealt by label.
+    sample = min(sample, max(20, SAMPLE_ALL // len(sizes)))
+    share = F.create_map(*[x for lang, n in sizes.items() for x in (F.lit(lang), F.lit(min(1.0, sample / n)))])
+    picked = rows.where(F.pmod("_h", F.lit(1 << 30)) / F.lit(float(1 << 30)) < F.try_element_at(share, F.col("lang")))
     by_label: dict[str, list[bytes]] = {}
     for lang, raw in picked.select("lang", "text").mapInArrow(_counted, "lang string, counts binary").orderBy("lang", "counts").collect():
         own = by_label.setdefault(lang, [])
-        if len(own) < sample:  # equal hashes (repeated rows) could give more
+        if len(own) < 2 * sample:  # many rows with one doc_id could give more
             own.append(bytes(raw))
     labels = sorted(by_label)
     if not labels:
