@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvine.llm import bpe, decontamination, fingerprints, language_id, license_scan, line_dedup, sharding, simhash_dedup
+from corvine.llm import bpe, decontamination, fingerprints, hmm, language_id, license_scan, line_dedup, sharding, simhash_dedup
 from corvine.llm.common import documents, durable
 
 
@@ -56,6 +56,10 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(documents(spark, sf_dir))
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.trained_and_scored(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_document_fingerprints": op2_document_fingerprints,
@@ -65,6 +69,7 @@ QUERIES = {
     "op7_bpe": op7_bpe,
     "op8_sharding": op8_sharding,
     "op9_license_scan": op9_license_scan,
+    "op10_lm_scoring": op10_lm_scoring,
 }
 
 _OP6 = r"""
