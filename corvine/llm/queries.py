@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvine.llm import bpe, decontamination, fingerprints, hmm, language_id, license_scan, line_dedup, sharding, simhash_dedup
+from corvine.llm import bpe, decontamination, fingerprints, hmm, language_id, license_scan, line_dedup, sharding, simhash_dedup, substring_dedup
 from corvine.llm.common import documents, durable
 
 
@@ -32,6 +32,10 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontamination.contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digests(documents(spark, sf_dir))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
     model = language_id.fit(docs.where(~language_id.held_out()))
@@ -64,6 +68,7 @@ QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_document_fingerprints": op2_document_fingerprints,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_language_id": op5_language_id,
     "op6_line_dedup": op6_line_dedup,
     "op7_bpe": op7_bpe,
