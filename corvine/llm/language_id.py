@@ -128,10 +128,12 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS) ->
     share = F.create_map(*[x for lang, n in sizes.items() for x in (F.lit(lang), F.lit(min(1.0, sample / n)))])
     picked = rows.where(F.pmod("_h", F.lit(1 << 30)) / F.lit(float(1 << 30)) < F.try_element_at(share, F.col("lang")))
     by_label: dict[str, list[bytes]] = {}
-    for lang, raw in picked.select("lang", "text").mapInArrow(_counted, "lang string, counts binary").orderBy("lang", "counts").collect():
+    for lang, raw in picked.select("lang", "text").mapInArrow(_counted, "lang string, counts binary").collect():
         own = by_label.setdefault(lang, [])
         if len(own) < 2 * sample:  # many rows with one doc_id could give more
             own.append(bytes(raw))
+    for own in by_label.values():
+        own.sort()
     labels = sorted(by_label)
     if not labels:
         return Model()

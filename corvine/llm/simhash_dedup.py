@@ -243,7 +243,11 @@ def hex_digits(fp: str = "fp"):
 def deduplicated(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """One document of each group, the one with the smallest doc_id (of repeated rows, one); rows without a doc_id stay."""
     found = near_duplicates(docs.select("doc_id", "text"), shingle, radius)
+    key = F.col("doc_id").cast("long")
     gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(gone, docs["doc_id"].cast("long") == gone["doc_id"], "left_anti")
-    named, rest = kept.where("doc_id is not null"), kept.where("doc_id is null")
-    return named.dropDuplicates(["doc_id"]).unionByName(rest)
+    again = docs.where("doc_id is not null").groupBy(key.alias("doc_id")).count().where("count > 1").select("doc_id")
+    # Texts of repeated ids alone are grouped; all others pass without a sort.
+    out = durable(gone.select("doc_id", F.lit(True).alias("_gone")).join(again.select("doc_id", F.lit(True).alias("_again")), "doc_id", "full"))
+    rows = docs.withColumn("_key", key).join(out.withColumnRenamed("doc_id", "_key").hint("shuffle_hash"), "_key", "left").where("_gone is null")
+    once = rows.where("_again is null").select(*docs.columns)
+    return once.unionByName(rows.where("_again").select(*docs.columns).dropDuplicates(["doc_id"]))
