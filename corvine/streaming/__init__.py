@@ -1,0 +1 @@
+"""The engine is batch only; nothing here streams yet."""
