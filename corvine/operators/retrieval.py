@@ -16,6 +16,7 @@ from pyspark.sql.window import Window
 
 from corvine.functions.keys import blocking_keys, clean_country, tier
 from corvine.functions.text import normalize_frame
+from corvine.sources.stages import stage
 
 
 @dataclass(frozen=True)
@@ -45,7 +46,8 @@ def block_stats(pool_keys: DataFrame) -> DataFrame:
 def retrieve(s1: DataFrame, pool: DataFrame, limits: Limits | None = None) -> DataFrame:
     """(source1_entity_id, candidate_id, rank from 1). pool has src and ord, which give its order."""
     limits = limits or Limits()
-    left, right = record_keys(s1), record_keys(pool)
+    # Keys are read several times; text work is done once.
+    left, right = stage(record_keys(s1)), stage(record_keys(pool))
     stats = block_stats(right)
     by_record = Window.partitionBy("entity_id").orderBy("pos")
     keys = left.join(stats, ["country", "block_key"])

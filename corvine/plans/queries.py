@@ -9,6 +9,7 @@ from corvine.functions.keys import address_keys, name_keys
 from corvine.functions.text import expand_suffixes, normalize_frame
 from corvine.operators import decision, metrics, model, pairs, retrieval, tfidf
 from corvine.plans import validate, views
+from corvine.sources.stages import stage
 
 PART_LIMITS = retrieval.Limits(cap=30, max_block=40, sample=10)
 DOC_LIMITS = retrieval.Limits(cap=150, max_block=1000, sample=20)
@@ -18,7 +19,7 @@ CUTOFF, UNSEEN_CUTOFF = 0.35, 0.65
 
 
 def _sides(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    rows = normalize_frame(rows)
+    rows = stage(normalize_frame(rows))
     return rows.where("src = 1"), rows.where("src > 1")
 
 
@@ -29,9 +30,9 @@ def _spine(s1: DataFrame) -> DataFrame:
 def _scored(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     s1, pool = _sides(views.docs(spark, d))
     found = retrieval.retrieve(s1, pool, DOC_LIMITS).select("source1_entity_id", "candidate_id")
-    every = normalize_frame(views.docs(spark, d))
-    joined = pairs.for_scoring(found, s1, pool)
-    return pairs.features(joined, tfidf.fit(every, "normalized_name"), tfidf.fit(every, "normalized_address")), s1, pool
+    every = s1.unionByName(pool)
+    joined = stage(pairs.for_scoring(found, s1, pool))
+    return stage(pairs.features(joined, stage(tfidf.fit(every, "normalized_name")), stage(tfidf.fit(every, "normalized_address")))), s1, pool
 
 
 def normalize_text(spark, d):
@@ -81,7 +82,7 @@ def candidates_tiered_cap(spark, d):
 
 def candidates_compact(spark, d):
     s1, pool = _sides(views.parts(spark, d))
-    return retrieval.compact(s1, retrieval.retrieve(s1, pool, PART_LIMITS))
+    return retrieval.compact(s1, stage(retrieval.retrieve(s1, pool, PART_LIMITS)))
 
 
 def pair_explode(spark, d):
@@ -99,10 +100,9 @@ def tfidf_vocab(spark, d):
 
 
 def tfidf_pair_cosine(spark, d):
-    rows = normalize_frame(views.parts(spark, d))
-    s1, pool = rows.where("src = 1"), rows.where("src > 1")
-    found = pairs.for_scoring(retrieval.retrieve(s1, pool, PART_LIMITS), s1, pool)
-    like = tfidf.pair_cosine(found, "s1_norm_name", "cand_norm_name", tfidf.fit(rows, "normalized_name"))
+    s1, pool = _sides(views.parts(spark, d))
+    found = stage(pairs.for_scoring(retrieval.retrieve(s1, pool, PART_LIMITS), s1, pool))
+    like = tfidf.pair_cosine(found, "s1_norm_name", "cand_norm_name", stage(tfidf.fit(s1.unionByName(pool), "normalized_name")))
     return like.select("s1_norm_name", "cand_norm_name", F.bround("similarity", 4).alias("similarity"))
 
 
@@ -187,7 +187,7 @@ def variant_cutoffs(spark, d):
 
 def validate_output(spark, d):
     s1, pool = _sides(views.parts(spark, d))
-    found = retrieval.retrieve(s1, pool, PART_LIMITS)
+    found = stage(retrieval.retrieve(s1, pool, PART_LIMITS))
     results = retrieval.compact(s1, found).withColumnRenamed("candidate_entity_ids", "matched_entity_ids")
     # Spoilt on purpose, so that rules have something to find.
     number = F.substring("source1_entity_id", 4, 20).cast("long")
