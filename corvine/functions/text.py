@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Legal suffixes and what they stand for.
 LEGAL_SUFFIXES = {
@@ -25,7 +26,7 @@ LEGAL_SUFFIXES = {
 WHITE = r"[\t-\r\x1c-\x20\x85\xa0  -     　]+"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _nfkc(values: pd.Series) -> pd.Series:
     return values.str.normalize("NFKC")
 
