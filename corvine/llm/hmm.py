@@ -107,7 +107,7 @@ class Model:
         return s
 
     def unigram(self) -> np.ndarray:
-        u = np.concatenate([self.counts, self.totals]).astype(float) + 1
+        u = np.concatenate([self.counts, self.totals]) + 1 / CLASSES
         return u / u.sum()
 
 
