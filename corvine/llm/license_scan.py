@@ -43,7 +43,8 @@ TEMPLATES = (
     ("mpl", "subject to the terms of the Mozilla Public License"),
     ("reserved", "All rights reserved"),
 )
-THRESHOLD = 0.8
+#: Short notices differ by one word; at 0.9 a template of fewer than ten distinct words must be there as a whole.
+THRESHOLD = 0.9
 _APART = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
