@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,11 +28,6 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """``mapInArrow`` under a name that says what it is for."""
-    return df.mapInArrow(fn, schema)
-
-
 def sliced(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Cut batches so that ``column`` holds about ``most_bytes`` in each; a longer single row stays whole."""
     for batch in batches:
@@ -47,21 +42,26 @@ def sliced(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 8 <
                 yield batch.slice(a, b - a)
 
 
-def numbered(df: DataFrame, order: list[str], buckets: int | None = None) -> tuple[DataFrame, DataFrame]:
+def cut_points(df: DataFrame, key: str, most: int = 1024) -> list[int]:
+    """Values of a long column that cut the rows into about equal ranges: fixed values, so every later run deals rows alike.
+
+    They come from a sample of distinct values chosen by hash, about 50 a range whatever the size of the table; the
+    number of ranges is four times the shuffle partitions, ``most`` at most.
+    """
+    n = min(most, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    one_of = max(1, df.count() // (50 * n))
+    got = df.where(F.pmod(F.xxhash64(key), F.lit(one_of)) == 0).select(key).where(F.col(key).isNotNull()).distinct().collect()
+    values = sorted(r[0] for r in got)
+    return sorted({values[len(values) * i // n] for i in range(1, n)}) if values else []
+
+
+def numbered(df: DataFrame, order: list[str]) -> tuple[DataFrame, DataFrame]:
     """Give rows a ``bucket`` of consecutive order values and the table of bucket sizes.
 
-    ``order[0]`` must be a long. The cut points are approximate quantiles, at most ``buckets`` of them however
-    large the table is, and are fixed values by the time they are used, so every later run of the plan deals rows
-    alike. Nulls come first. Returns the rows with ``bucket`` and ``at`` (1-based position in the bucket), and
-    (``bucket``, ``n``, ``before``) with one row for each bucket.
+    ``order[0]`` must be a long; nulls come first. Returns the rows with ``bucket`` and ``at`` (1-based position in the bucket),
+    and (``bucket``, ``n``, ``before``) with one row for each of a bounded number of buckets.
     """
-    key = order[0]
-    spark = df.sparkSession
-    n = buckets or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) * 2)
-    n = min(n, 4096)
-    marks = [i / n for i in range(1, n)]
-    cuts = (df.agg(F.percentile_approx(key, marks, 50 * n).alias("c")).first()["c"] if marks else None) or []
-    dealt = df.withColumn("bucket", bucket_of(F.col(key), sorted(set(cuts))))
+    dealt = df.withColumn("bucket", bucket_of(F.col(order[0]), cut_points(df, order[0])))
     by = Window.partitionBy("bucket").orderBy(*[F.col(c).asc_nulls_first() for c in order])
     sizes = dealt.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
     sizes = sizes.withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
@@ -69,7 +69,7 @@ def numbered(df: DataFrame, order: list[str], buckets: int | None = None) -> tup
 
 
 def bucket_of(key: Column, cuts: list[int]) -> Column:
-    """How many of the sorted ``cuts`` are at or below ``key``; 0 for a null. A nest of comparisons, so code is generated."""
+    """How many of the sorted ``cuts`` are at or below ``key``; 0 for a null."""
     if not cuts:
         return F.lit(0)
     table = F.array(*[F.lit(int(c)) for c in cuts])

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from corvine.llm.common import bucket_of, durable
+from corvine.llm.common import bucket_of, cut_points, durable
 
 HEAVIEST, BLOCKS, RADIUS = 16, 6, 3
 _LEAST = -(1 << 63)
@@ -90,20 +90,18 @@ def with_next(docs: DataFrame) -> DataFrame:
     Rows are dealt by range of doc_id into a bounded number of buckets with fixed cut points; only a bucket's last row
     looks beyond it, for the first row of the next bucket, a join of one row a bucket.
     """
-    spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("key", F.coalesce("doc_id", F.lit(_LEAST)))
-    n = min(4096, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    cuts = rows.agg(F.percentile_approx("key", [i / n for i in range(1, n)], 50 * n).alias("c")).first()["c"] or []
-    rows = rows.withColumn("bucket", bucket_of(F.col("key"), sorted(set(cuts))))
-    first = rows.groupBy("bucket").agg(F.min("key").alias("key"))
-    order = Window.orderBy("bucket")
-    following = first.select("bucket", F.coalesce(F.lead("bucket").over(order), F.first("bucket").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("next_bucket"))
-    heads = rows.join(F.broadcast(first), ["bucket", "key"], "left_semi").groupBy(F.col("bucket").alias("next_bucket")).agg(F.min("text").alias("head"))
-    heads = following.join(heads, "next_bucket").select("bucket", "next_bucket", "head")
+    rows = rows.withColumn("bucket", bucket_of(F.col("key"), cut_points(rows.select("key"), "key")))
+    # One row for each of a bounded number of buckets.
+    first = {r["bucket"]: r["key"] for r in rows.groupBy("bucket").agg(F.min("key").alias("key")).collect()}
+    buckets = sorted(first)
+    following = dict(zip(buckets, buckets[1:] + buckets[:1], strict=True))
+    after = F.element_at(F.array(*[F.lit(following.get(b, 0)) for b in range(max(buckets, default=0) + 1)]), F.col("bucket") + 1)
+    heads = rows.where(F.col("key").isin(list(first.values()))).groupBy(F.col("bucket").alias("next_bucket")).agg(F.min("text").alias("head"))
     by = Window.partitionBy("bucket").orderBy("key", "text")
     rows = rows.withColumn("at", F.row_number().over(by)).withColumn("after", F.lead("text").over(by))
     inner = rows.where("after is not null").select("bucket", "at", F.col("bucket").alias("next_bucket"), (F.col("at") + 1).alias("next_at"), "doc_id", "text", "after")
-    outer = rows.where("after is null").join(heads, "bucket").select("bucket", "at", "next_bucket", F.lit(1).alias("next_at"), "doc_id", "text", F.col("head").alias("after"))
+    outer = rows.where("after is null").withColumn("next_bucket", after).join(heads.hint("merge"), "next_bucket").select("bucket", "at", "next_bucket", F.lit(1).alias("next_at"), "doc_id", "text", F.col("head").alias("after"))
     return inner.unionByName(outer)
 
 

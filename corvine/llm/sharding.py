@@ -43,8 +43,8 @@ def _permuted(x: Column, a: int, b: int, seed: int, rounds: int) -> Column:
     return F.aggregate(F.array(*[F.lit(k) for k in range(rounds)]), pair, step, lambda s: s["r"] * F.lit(a) + s["l"])
 
 
-def permuted(row: Column, n: int, seed: int = SEED, rounds: int = ROUNDS) -> Column:
-    """The place of row number ``row`` among n rows. Fails, rather than give a wrong place, if WALKS steps don't suffice."""
+def permuted(row: Column, n: int, seed: int = SEED, rounds: int = ROUNDS) -> tuple[Column, Column]:
+    """Of row number ``row`` among n rows the first place, and the place after walking, an expression of a column ``_place`` with the first."""
     a, b = grid(n)
     once = lambda x: _permuted(x, a, b, seed, rounds)
     first = once(row.cast("long"))
