@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 from collections.abc import Iterator
 
@@ -28,6 +29,15 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that nothing refers to any more, as after ``durable``.
+
+    Spark does so when the driver collects garbage, which a driver with little to do may not for a long time.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def sliced(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Cut batches so that ``column`` holds about ``most_bytes`` in each; a longer single row stays whole."""
     for batch in batches:

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvine.llm.common import durable, sliced
+from corvine.llm.common import durable, release, sliced
 from corvine.llm.fm_index import FMIndex
 
 WINDOW, ANCHOR, SHARD_WORDS = 35, 10, 400_000
@@ -163,6 +163,7 @@ def repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, shard_w
     found = rows.select("did", "th", "text").mapInArrow(_segmented(window, anchor), "key long, own long, did long, th long, span long")
     more = durable(found.groupBy("key").count().where("count > 1").select("key"))
     found = durable(found.join(more, "key", "left_semi"))
+    release(docs.sparkSession)
     groups = found.groupBy("key", "own").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("did", "th", "span")).alias("at"))
     wanted = groups.groupBy(F.col("at.did").alias("did"), F.col("at.th").alias("th")).agg(F.collect_list(F.struct("key", "own", "n", F.col("at.span").alias("span"))).alias("wanted"))
     texts = rows.select("did", "th", "text").join(wanted.hint("shuffle_hash"), ["did", "th"])
@@ -170,6 +171,7 @@ def repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, shard_w
     cut = texts.mapInArrow(_cut_out(window), "key long, own long, n long, windows int, words binary")
     bits = cut.repartition(parts, "key").sortWithinPartitions("key", "own").mapInArrow(_searched(window, shard_words), "key long, own long, bits long")
     bits = durable(bits.groupBy("key", "own").agg(F.max("bits").alias("bits")))
+    release(docs.sparkSession)
     return found.join(bits, ["key", "own"]).groupBy("did", "th").agg(F.collect_set(F.struct("span", "bits")).alias("spans"))
 
 
