@@ -242,7 +242,11 @@ def hex_digits(fp: str = "fp"):
 
 def deduplicated(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """One document of each group, the one with the smallest doc_id (of repeated rows, one); rows without a doc_id stay."""
-    found = near_duplicates(docs.select("doc_id", "text"), shingle, radius)
+    return without_copies(docs, near_duplicates(docs.select("doc_id", "text"), shingle, radius))
+
+
+def without_copies(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """docs without the rows that ``found`` (doc_id, component_id) gives another doc_id as component."""
     key = F.col("doc_id").cast("long")
     gone = found.where("doc_id <> component_id").select("doc_id").distinct()
     again = docs.where("doc_id is not null").groupBy(key.alias("doc_id")).count().where("count > 1").select("doc_id")
