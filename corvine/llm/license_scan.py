@@ -1,12 +1,14 @@
 """License scans: phrases that stand word by word, and an exact set-similarity join of text blocks with notice templates.
 DataFrame functions only.
 
-Method. A block is a line of a text; its set is that of its words. A template (a notice's text) is found in a block if at least
+Method. A block is a line of a text, or a window of as many words as a template has, wherever it stands, so that a notice wrapped over
+lines is found; its set is that of its words. A template (a notice's text) is found in a block if at least
 ``THRESHOLD`` of the template's distinct words are in the block. The join is exact: the words of templates are ordered by
 their frequency over all blocks, rarest first; a block that meets the threshold must hold one of the first
 |T| - need + 1 words (prefix filter, an equi-join on the word), have at least ``need`` distinct words (length filter), and
 hold enough of the prefix that the words behind it could still make up ``need`` (positional filter). What is left is verified
-by the intersection. Only the templates, a parameter of fixed size, and their words' counts are broadcast.
+by the intersection. Windows are formed only around the words of prefixes, as each that meets the threshold holds
+one. Only the templates, a parameter of fixed size, and their words' counts are broadcast.
 
 Defined cases. A null text is empty: no words, no labels. Repeated rows each give a row; rows that share a doc_id share the
 labels that the join finds in any of them; a null doc_id is a doc_id of its own. Words, places and labels are those of whole
@@ -96,24 +98,33 @@ def _need(n: int, threshold: float) -> int:
     return max(1, next(k for k in range(n + 1) if k >= threshold * n - 1e-9))
 
 
-def template_matches(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, block, template, label, share): every block that holds at least the threshold of a template's words."""
-    spark = docs.sparkSession
-    sets = [(i, label, sorted(set(words_of(text)))) for i, (label, text) in enumerate(templates)]
-    known = sorted({w for _, _, s in sets for w in s})
+def _filters(docs: DataFrame, templates, threshold: float) -> tuple[list[tuple], list[tuple]]:
+    """(word, template) for the words of prefixes; (template, label, known, size, need, behind, length) for each template."""
+    sets = [(i, label, sorted(set(words_of(text))), len(words_of(text))) for i, (label, text) in enumerate(templates)]
+    known = sorted({w for _, _, s, _ in sets for w in s})
     counted = _blocks(docs).select(F.explode("words").alias("w")).where(F.col("w").isin(known)).groupBy("w").count()
     often = {r["w"]: r["count"] for r in counted.collect()}  # no more rows than the templates have words
     prefixes, rows = [], []
-    for i, label, s in sets:
+    for i, label, s, length in sets:
         order = sorted(s, key=lambda w: (often.get(w, 0), w))
         need = _need(len(s), threshold)
         head = order[: len(s) - need + 1]
         prefixes += [(w, i) for w in head]
-        rows.append((i, label, s, len(s), need, len(s) - len(head)))
+        rows.append((i, label, s, len(s), need, len(s) - len(head), length))
+    return prefixes, rows
+
+
+_TABLE = "template int, label string, known array<string>, size int, need int, behind int, length int"
+
+
+def template_matches(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, filters=None) -> DataFrame:
+    """(doc_id, block, template, label, share): every line that holds at least the threshold of a template's words."""
+    spark = docs.sparkSession
+    prefixes, rows = filters or _filters(docs, templates, threshold)
     heads = sorted({w for w, _ in prefixes})
     least = min(r[4] for r in rows)
     prefix = spark.createDataFrame(prefixes, "w string, template int")
-    table = spark.createDataFrame(rows, "template int, label string, known array<string>, size int, need int, behind int")
+    table = spark.createDataFrame(rows, _TABLE)
     blocks = _blocks(docs).where(F.arrays_overlap("words", F.array(*[F.lit(w) for w in heads])))
     blocks = blocks.withColumn("words", F.array_distinct("words")).where(F.size("words") >= least)
     hits = blocks.select("doc_id", "block", "words", F.explode("words").alias("w")).join(F.broadcast(prefix), "w")
@@ -123,11 +134,34 @@ def template_matches(docs: DataFrame, templates=TEMPLATES, threshold: float = TH
     return pairs.select("doc_id", "block", "template", "label", (F.col("common") / F.col("size")).alias("share"))
 
 
+def window_matches(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, filters=None) -> DataFrame:
+    """(doc_id, template, label, share): templates of which a window of their own length, across lines, holds at least the threshold."""
+    spark = docs.sparkSession
+    prefixes, rows = filters or _filters(docs, templates, threshold)
+    heads = F.array(*[F.lit(w) for w in sorted({w for w, _ in prefixes})])
+    reach = max(r[6] for r in rows)
+    table = spark.createDataFrame(prefixes, "w string, template int").join(spark.createDataFrame(rows, _TABLE), "template")
+    texts = docs.select("doc_id", F.split(spaced(F.col("text")), " ").alias("words")).where(F.arrays_overlap("words", heads))
+    places = texts.select("doc_id", "words", F.filter(F.sequence(F.lit(1), F.size("words")), lambda i: F.array_contains(heads, F.get("words", i - 1))).alias("at"))
+
+    def near(i: Column) -> Column:
+        first = F.greatest(i - (reach - 1), F.lit(1))
+        return F.struct(F.get("words", i - 1).alias("w"), (i - first + 1).alias("i"), F.slice("words", first, F.lit(2 * reach - 1)).alias("near"))
+
+    hits = places.select("doc_id", F.explode(F.transform("at", near)).alias("p")).select("doc_id", "p.*").join(F.broadcast(table), "w")
+    hits = hits.where(F.size(F.array_intersect("near", "known")) >= F.col("need"))
+    starts = F.sequence(F.greatest(F.col("i") - F.col("length") + 1, F.lit(1)), F.col("i"))
+    common = F.array_max(F.transform(starts, lambda s: F.size(F.array_intersect(F.slice("near", s, F.col("length")), F.col("known")))))
+    return hits.withColumn("common", common).where(F.col("common") >= F.col("need")).select("doc_id", "template", "label", (F.col("common") / F.col("size")).alias("share"))
+
+
 def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, phrases: dict[str, str] | None = None) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score for each row."""
     phrases = phrases or PHRASES
     base = phrase_places(docs, phrases).withColumnRenamed("doc_id", "id")
-    found = template_matches(docs, templates, threshold).groupBy("doc_id").agg(F.collect_set("label").alias("more"), F.max("share").alias("share"))
+    filters = _filters(docs, templates, threshold)
+    found = template_matches(docs, templates, threshold, filters).select("doc_id", "label", "share")
+    found = found.unionByName(window_matches(docs, templates, threshold, filters).select("doc_id", "label", "share")).groupBy("doc_id").agg(F.collect_set("label").alias("more"), F.max("share").alias("share"))
     rows = base.join(found, F.col("id").eqNullSafe(F.col("doc_id")), "left")
     labels = F.array_sort(F.array_union("base_list", F.coalesce("more", F.array().cast("array<string>"))))
     score = F.when(F.col("n_base") > 0, F.lit(1.0)).otherwise(F.coalesce("share", F.lit(0.0)))
