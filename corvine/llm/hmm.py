@@ -3,10 +3,10 @@
 Method. Every training document is counted: words, A-Z lower-cased, and one end a document. The words with the largest counts, at
 most ``OWN`` of them, are symbols of their own; every other word belongs to one of ``CLASSES`` symbols by its last two bytes and,
 within it, has probability (c + 1) / (T + 1), T being the sum of c + 1 over the class's training words: what is left goes to
-words never seen. States emit symbols. ``WARM`` rounds of Baum-Welch over a bounded sample (about ``SAMPLE_TOKENS`` tokens of whole
-documents, chosen by hash) only give a starting point; then ``ROUNDS`` rounds run over all training documents: each task adds
-its expected counts, one row a symbol, and a hash aggregation adds the tasks' rows. The parameters that reach the driver are
-bounded by OWN + CLASSES rows. The scaled forward recursion then gives the exact likelihood of each whole text.
+words never seen. States emit symbols. From seeded random parameters ``WARM`` + ``ROUNDS`` rounds of Baum-Welch run,
+each over all training documents, whose symbols are written once: each task adds its expected counts, one row a symbol, and a hash
+aggregation adds the tasks' rows. The parameters that reach the driver are bounded by OWN + CLASSES rows. The scaled forward
+recursion then gives the exact likelihood of each whole text.
 
 Counts of words outside the bounded list, needed for the base score and for the classes, are found by a shuffled join on the
 word: every word of every document counts, however large the vocabulary.
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from corvine.llm.common import durable, sliced
 
-STATES, OWN, CLASSES, SAMPLE_TOKENS, WARM, ROUNDS, PRIOR = 8, 40_000, 1024, 400_000, 12, 2, 20.0
+STATES, OWN, CLASSES, WARM, ROUNDS, PRIOR = 8, 40_000, 1024, 12, 2, 20.0
 END = b"\n"  # no word holds it
 
 
@@ -217,10 +217,10 @@ def vocabulary(counts: DataFrame, own: int = OWN) -> Model:
 def _expecting(sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
-        symbols, k = model.symbols(), len(model.start)
+        k = len(model.start)
         sums = None
-        for batch in sliced(batches, "text"):
-            got = expected(model, Packed(_sequences(batch.column("text").to_pylist(), symbols)))
+        for batch in sliced(batches, "s", 4 << 20):
+            got = expected(model, Packed([np.frombuffer(x, np.int32) for x in batch.column("s").to_pylist()]))
             sums = got if sums is None else tuple(a + b for a, b in zip(sums, got, strict=True))
         if sums is None:
             return
@@ -232,47 +232,43 @@ def _expecting(sent):
     return run
 
 
-def baum_welch(docs: DataFrame, model: Model) -> Model:
-    """One round over all documents of ``docs``."""
-    sent, k = docs.sparkSession.sparkContext.broadcast(model), len(model.start)
+def baum_welch(seqs: DataFrame, model: Model) -> Model:
+    """One round over all sequences of ``seqs`` (column s)."""
+    sent, k = seqs.sparkSession.sparkContext.broadcast(model), len(model.start)
     names = [f"s{j}" for j in range(k)]
-    rows = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_expecting(sent), "symbol int, " + ", ".join(f"{x} double" for x in names))
+    rows = seqs.mapInArrow(_expecting(sent), "symbol int, " + ", ".join(f"{x} double" for x in names))
     sums = np.zeros((1 + k + len(model.emit), k))
     for r in rows.groupBy("symbol").agg(*[F.sum(x).alias(x) for x in names]).collect():
         sums[r["symbol"] + 1 + k] = [r[x] for x in names]
     return improved(model, sums[0], sums[1 : 1 + k], sums[1 + k :])
 
 
-def _warm(docs: DataFrame, model: Model, states: int, rounds: int) -> Model:
-    """A starting point from a bounded sample."""
+def _start(model: Model, states: int) -> Model:
+    """Seeded random parameters."""
     rng = np.random.default_rng(7)
     u = model.unigram()
     model.start = np.full(states, 1 / states)
     model.move = np.full((states, states), 0.3 / states) + np.eye(states) * 0.7
     emit = u[:, None] * rng.gamma(2.0, size=(len(u), states))
     model.emit = emit / emit.sum(0)
-    share = min(1.0, SAMPLE_TOKENS / max(1, model.n))
-    part = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("hmm")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    return model
+
 
+def _symbols(sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         symbols = sent.value.symbols()
         for batch in sliced(batches, "text"):
             yield pa.record_batch([pa.array([s.tobytes() for s in _sequences(batch.column(0).to_pylist(), symbols)], pa.binary())], ["s"])
 
-    got = docs.where(part < share).select(F.col("text").cast("string").alias("text")).mapInArrow(run, "s binary").collect()
-    seqs = [np.frombuffer(x, np.int32) for x in sorted(bytes(r["s"]) for r in got)]
-    if seqs:
-        packed = Packed(seqs)
-        for _ in range(rounds):
-            model = improved(model, *expected(model, packed))
-    return model
+    return run
 
 
 def train(docs: DataFrame, counts: DataFrame, states: int = STATES, rounds: int = ROUNDS, own: int = OWN) -> Model:
-    model = _warm(docs, vocabulary(counts, own), states, WARM)
-    for _ in range(rounds):
-        model = baum_welch(docs, model)
+    model = _start(vocabulary(counts, own), states)
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    seqs = durable(docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_symbols(sent), "s binary"))
+    for _ in range(WARM + rounds):
+        model = baum_welch(seqs, model)
     return model
 
 
