@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -19,23 +18,39 @@ U64 = (1 << 64) - 1
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the shared folder of ``spark.checkpoint.dir``.
+    """Cut the lineage with a reliable checkpoint in the shared folder of ``spark.checkpoint.dir`` and free the shuffle files behind it.
 
-    Only where that setting is absent (tests, a laptop) a folder of our own is used.
+    Only where that setting is absent, and only with a local master (tests, a laptop), a folder of our own is used.
     """
     sc = df.sparkSession.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="corvine-"))
-    return df.checkpoint(eager=True)
+        folder = sc.getConf().get("spark.checkpoint.dir")
+        if not folder and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="corvine-"))
+    out = df.checkpoint(eager=True)
+    _free_shuffles(df)
+    return out
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of plans that nothing refers to any more, as after ``durable``.
+def _free_shuffles(df: DataFrame) -> None:
+    """Delete the shuffle files of df's own execution, which its checkpoint has made useless.
 
-    Spark does so when the driver collects garbage, which a driver with little to do may not for a long time.
+    Spark itself does so only when the driver happens to collect garbage. A plan without adaptive execution keeps its files until then.
     """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    plan, cleaner = df._jdf.queryExecution().executedPlan(), df.sparkSession.sparkContext._jsc.sc().cleaner()
+    if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec" and cleaner.isDefined():
+        for i in plan.context().shuffleIds().keySet().toArray():
+            cleaner.get().doCleanupShuffle(int(i), True)
+
+
+def forget(df: DataFrame) -> None:
+    """Delete the files of a table made by ``durable`` that nothing reads any more."""
+    spark = df.sparkSession
+    file = df._jdf.queryExecution().analyzed().rdd().getCheckpointFile()
+    if file.isDefined():
+        path = spark._jvm.org.apache.hadoop.fs.Path(file.get())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def sliced(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
@@ -52,39 +67,22 @@ def sliced(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 8 <
                 yield batch.slice(a, b - a)
 
 
-def cut_points(df: DataFrame, key: str, most: int = 1024) -> list[int]:
-    """Values of a long column that cut the rows into about equal ranges: fixed values, so every later run deals rows alike.
-
-    They come from a sample of distinct values chosen by hash, about 50 a range whatever the size of the table; the
-    number of ranges is four times the shuffle partitions, ``most`` at most.
-    """
-    n = min(most, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    one_of = max(1, df.count() // (50 * n))
-    got = df.where(F.pmod(F.xxhash64(key), F.lit(one_of)) == 0).select(key).where(F.col(key).isNotNull()).distinct().collect()
-    values = sorted(r[0] for r in got)
-    return sorted({values[len(values) * i // n] for i in range(1, n)}) if values else []
-
-
-def numbered(df: DataFrame, order: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Give rows a ``bucket`` of consecutive order values and the table of bucket sizes.
+def numbered(df: DataFrame, order: list[str]) -> DataFrame:
+    """The rows with ``number``, their place (from 0) in the order of the columns ``order``, nulls first.
 
-    ``order[0]`` must be a long; nulls come first. Returns the rows with ``bucket`` and ``at`` (1-based position in the bucket),
-    and (``bucket``, ``n``, ``before``) with one row for each of a bounded number of buckets.
+    Rows are dealt by range of all order columns and, so that equal rows are split too, of their place in the input; they are sorted
+    and written once. A row's number is its place in its partition after the sizes of the partitions before: one row a partition is summed.
     """
-    dealt = df.withColumn("bucket", bucket_of(F.col(order[0]), cut_points(df, order[0])))
-    by = Window.partitionBy("bucket").orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    sizes = dealt.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
-    sizes = sizes.withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return dealt.withColumn("at", F.row_number().over(by)), sizes
-
-
-def bucket_of(key: Column, cuts: list[int]) -> Column:
-    """How many of the sorted ``cuts`` are at or below ``key``; 0 for a null."""
-    if not cuts:
-        return F.lit(0)
-    table = F.array(*[F.lit(int(c)) for c in cuts])
-    found = F.size(F.filter(table, lambda c: c <= key))
-    return F.coalesce(F.when(key.isNull(), F.lit(0)).otherwise(found), F.lit(0))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by = [*[F.col(c).asc_nulls_first() for c in order], F.col("_tie")]
+    rows = df.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(parts, *by).sortWithinPartitions(*by).drop("_tie")
+    rows = durable(rows).withColumn("_at", F.monotonically_increasing_id())
+    rows = rows.withColumn("_part", F.shiftright("_at", 33)).withColumn("_at", F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)))
+    sizes = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # One row for each shuffle partition.
+    rows = rows.join(F.broadcast(sizes.select("_part", before.alias("_before"))), "_part")
+    return rows.withColumn("number", F.col("_before") + F.col("_at")).drop("_part", "_at", "_before")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

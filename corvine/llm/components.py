@@ -1,6 +1,6 @@
 """Connected components of an edge table by alternating large-star and small-star steps.
 
-Nodes and edges stay distributed; each round ends in a reliable checkpoint, and only a count and a checksum reach the
+Nodes and edges stay distributed; each round ends in a reliable checkpoint, and only a count and two sums of hashes reach the
 driver. The smallest node of a component is its root. Edges are never expanded to all pairs of a component.
 """
 
@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvine.llm.common import durable
+from corvine.llm.common import durable, forget
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -25,9 +25,10 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 
 
-def _state(edges: DataFrame) -> tuple[int, int]:
-    row = edges.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.pmod(F.xxhash64("a", "b"), F.lit(1 << 31))), F.lit(0)).alias("s")).first()
-    return row["n"], row["s"]
+def _state(edges: DataFrame) -> tuple:
+    """Number of edges and two sums of 64-bit hashes, exact."""
+    sums = [F.sum(F.xxhash64("a", "b", F.lit(seed)).cast("decimal(20,0)")).alias(f"s{seed}") for seed in (1, 2)]
+    return tuple(edges.agg(F.count(F.lit(1)).alias("n"), *sums).first())
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -35,8 +36,17 @@ def connected_components(edges: DataFrame) -> DataFrame:
     now = durable(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     state = _state(now)
     while state[0]:
-        now = durable(_small_star(_large_star(now)))
+        before, now = now, durable(_small_star(_large_star(now)))
+        forget(before)
         was, state = state, _state(now)
         if was == state:
             break
     return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
+
+
+def named(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """(node, gid, component_id) for nodes (node long, least: its smallest doc_id): gid is the component's smallest node,
+    component_id the smallest ``least`` in it."""
+    members = durable(nodes.join(connected_components(edges), "node", "left").select("node", "least", F.coalesce("root", "node").alias("gid")))
+    least = members.groupBy("gid").agg(F.min("least").alias("component_id"))
+    return durable(members.join(least, "gid").select("node", "gid", "component_id"))

@@ -15,10 +15,11 @@ keys of 35 bits at least. Rows are dealt by key, streamed in key order, and ever
 Inside a run of equal keys a breadth-first search returns a spanning forest of the links, not all pairs.
 
 Equal fingerprints are grouped first, so copies, however many, are one row from there on. Components are found by star
-contraction over (smallest doc_id of each fingerprint).
+contraction over fingerprints; a component's smallest doc_id is found afterwards.
 
 Defined cases. A null or wordless text has fingerprint zero and is linked like any other. Null doc_ids count as larger than all
-others; a group without any other has a null component_id. doc_ids are below 2**62. Repeated rows are members like any other.
+others; a group without any other has a null component_id. Repeated rows are members like any other; rows that share a doc_id, but
+not a text, are linked by their fingerprints alone.
 """
 
 from __future__ import annotations
@@ -28,17 +29,18 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corvine.llm import components
 from corvine.llm.common import durable, sliced
-from corvine.llm.components import connected_components
 
 SHINGLE, SEED, RADIUS = 3, 42, 3
+#: Runs up to this size are searched without blocks.
+SHORT = 512
 #: Fixed value: the generator polynomial of the binary Golay code, x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1.
 GOLAY = 0b110001110101
 _SEGMENTS = ((0, 23), (23, 23), (46, 18))
-_NULL_BASE = 1 << 62
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -63,14 +65,15 @@ def _fingerprints(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, "text"):
             fps = np.array([fingerprint(x, shingle) for x in batch.column("text").to_pylist()], np.uint64)
-            yield pa.record_batch([batch.column("doc_id"), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            yield pa.record_batch([batch.column("doc_id"), batch.column("th"), pa.array(fps.view(np.int64))], ["doc_id", "th", "fp"])
 
     return run
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): fp is the fingerprint as a signed long."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_fingerprints(shingle), "doc_id long, fp long")
+    """(doc_id, th, fp): fp is the fingerprint as a signed long."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash(F.col("text")).alias("th"), F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(_fingerprints(shingle), "doc_id long, th long, fp long")
 
 
 _TABLE: list[np.ndarray] = []
@@ -157,8 +160,35 @@ def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def forest(fps: np.ndarray, side: np.ndarray, radius: int) -> list[tuple[int, int]]:
-    """Links of a run as a spanning forest. Sides 1 and 2 meet each other; side 0 meets all."""
-    left = np.arange(len(fps))
+    """Links of a run as a spanning forest. Sides 1 and 2 meet each other; side 0 meets all.
+
+    Short runs are searched breadth first. In a long one members are dealt by 4 blocks of 16 bits first: members within 3 bits agree in
+    one block at least, so only those that share a block are compared, and a run whose members don't link costs no square.
+    """
+    if len(fps) <= SHORT:
+        return _spanning(fps, side, radius, np.arange(len(fps)))
+    root = np.arange(len(fps))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = int(root[x])
+        return x
+
+    out = []
+    for block in fps.view(np.uint16).reshape(-1, 4).T:
+        by = np.argsort(block, kind="stable")
+        for part in np.split(by, np.flatnonzero(np.diff(block[by])) + 1):
+            if len(part) > 1:
+                for u, v in _spanning(fps, side, radius, part):
+                    a, b = find(u), find(v)
+                    if a != b:
+                        root[max(a, b)] = min(a, b)
+                        out.append((u, v))
+    return out
+
+
+def _spanning(fps: np.ndarray, side: np.ndarray, radius: int, left: np.ndarray) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
     while len(left) > 1:
         todo, left = [left[0]], left[1:]
@@ -224,16 +254,11 @@ def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """doc_id, fp (signed long), component_id for every row of docs."""
+    """doc_id, th (hash of the text), fp (signed long), gid (the group's smallest fp), component_id for every row of docs."""
     rows = durable(fingerprints(docs, shingle))
-    nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("node"))
-    nodes = durable(nodes.withColumn("node", F.coalesce("node", F.lit(_NULL_BASE) + F.shiftrightunsigned("fp", 2))))
-    found = links(nodes, radius)
-    ends = nodes.select(F.col("fp").alias("x"), F.col("node").alias("a")), nodes.select(F.col("fp").alias("y"), F.col("node").alias("b"))
-    roots = connected_components(found.join(ends[0], "x").join(ends[1], "y").select("a", "b"))
-    named = nodes.join(roots, "node", "left").select("fp", F.coalesce("root", "node").alias("component_id"))
-    named = durable(named.withColumn("component_id", F.when(F.col("component_id") < F.lit(_NULL_BASE), F.col("component_id"))))
-    return rows.join(named, "fp").select("doc_id", "fp", "component_id")
+    nodes = durable(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    named = components.named(nodes.withColumnRenamed("fp", "node"), links(nodes, radius).toDF("a", "b")).withColumnRenamed("node", "fp")
+    return rows.join(named, "fp").select("doc_id", "th", "fp", "gid", "component_id")
 
 
 def hex_digits(fp: str = "fp"):
@@ -241,17 +266,27 @@ def hex_digits(fp: str = "fp"):
 
 
 def deduplicated(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """One document of each group, the one with the smallest doc_id (of repeated rows, one); rows without a doc_id stay."""
+    """One document of each group stays: see ``without_copies``."""
     return without_copies(docs, near_duplicates(docs.select("doc_id", "text"), shingle, radius))
 
 
 def without_copies(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """docs without the rows that ``found`` (doc_id, component_id) gives another doc_id as component."""
-    key = F.col("doc_id").cast("long")
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    again = docs.where("doc_id is not null").groupBy(key.alias("doc_id")).count().where("count > 1").select("doc_id")
-    # Texts of repeated ids alone are grouped; all others pass without a sort.
-    out = durable(gone.select("doc_id", F.lit(True).alias("_gone")).join(again.select("doc_id", F.lit(True).alias("_again")), "doc_id", "full"))
-    rows = docs.withColumn("_key", key).join(out.withColumnRenamed("doc_id", "_key").hint("shuffle_hash"), "_key", "left").where("_gone is null")
-    once = rows.where("_again is null").select(*docs.columns)
-    return once.unionByName(rows.where("_again").select(*docs.columns).dropDuplicates(["doc_id"]))
+    """docs less the rows that ``found`` (doc_id, th, gid; a row for each of docs) shows to be copies.
+
+    Of each group gid the row with the smallest doc_id stays; of a group's rows with that doc_id the text with the smallest hash stays,
+    and of rows equal in doc_id and text one. Groups that share a doc_id don't touch each other. Rows without a doc_id stay.
+    """
+    did = F.col("doc_id").cast("long")
+    found = found.where("doc_id is not null")
+    kept = found.groupBy("gid").agg(F.min(F.struct(did.alias("did"), F.col("th").alias("th"))).alias("k")).select(F.col("k.did").alias("_did"), F.col("k.th").alias("_th"))
+    # Only rows that occur again are grouped; all others pass without a sort.
+    counts = found.groupBy(did.alias("_did"), F.col("th").alias("_th")).agg((F.count(F.lit(1)) > 1).alias("_again"))
+    kept = durable(kept.join(counts, ["_did", "_th"]))
+    rows = docs.where("doc_id is not null").withColumns({"_did": did, "_th": text_hash(F.col("text"))}).join(kept.hint("shuffle_hash"), ["_did", "_th"])
+    once = rows.where("not _again").select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    return once.unionByName(rows.where("_again").dropDuplicates(["_did", "_th"]).select(*docs.columns))
+
+
+def text_hash(text: Column) -> Column:
+    """With doc_id it tells rows apart."""
+    return F.xxhash64(text.cast("string"))
