@@ -1,23 +1,23 @@
 """License scans: phrases that stand word by word, and an exact set-similarity join of text blocks with notice templates.
 DataFrame functions only.
 
-Method. A block is a line of a text, or a window of as many words as a template has, wherever it stands, so that a notice wrapped over
-lines is found; its set is that of its words. A template (a notice's text) is found in a block if at least
-``THRESHOLD`` of the template's distinct words are in the block. The join is exact: the words of templates are ordered by
-their frequency over all blocks, rarest first; a block that meets the threshold must hold one of the first
-|T| - need + 1 words (prefix filter, an equi-join on the word), have at least ``need`` distinct words (length filter), and
-hold enough of the prefix that the words behind it could still make up ``need`` (positional filter). What is left is verified
-by the intersection. Windows are formed only around the words of prefixes, as each that meets the threshold holds
-one. Only the templates, a parameter of fixed size, and their words' counts are broadcast.
-
-Defined cases. A null text is empty: no words, no labels. Repeated rows each give a row; rows that share a doc_id share the
-labels that the join finds in any of them; a null doc_id is a doc_id of its own. Words, places and labels are those of whole
-texts. Score: 1 if a phrase stands in the text, else the largest share of a template found, else 0.
+Method. For each template (a notice's text) a block is a window of a quarter more words than the template has, wherever it stands, across
+lines; its set is that of its words. A template is found in a block if at least ``THRESHOLD`` of the template's distinct words are in it.
+The join is exact: the words of templates are ordered by their frequency over all texts, rarest first; a block that meets the
+threshold must hold one of the first |T| - need + 1 words (prefix filter, an equi-join on the word), and the words around that place must
+hold ``need`` distinct words of the template (length and positional filter: words too far from the prefix word to share a window don't count).
+What is left is verified window by window. Windows are formed only around the words of prefixes, as each that meets the threshold
+holds one. Only the templates, a parameter of fixed size, and their words' counts are broadcast.
+
+Defined cases. A null text is empty: no words, no labels. Repeated rows each give a row. Matches are joined back by doc_id and a hash of the
+text, so rows that share a doc_id, or have none, don't share labels. Words, places and labels are those of whole texts; only A-Z are
+lower-cased. Score: 1 if a phrase stands in the text, else the largest share of a template found, else 0.
 """
 
 from __future__ import annotations
 
 import re
+import string
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,23 +45,53 @@ TEMPLATES = (
     ("mpl", "subject to the terms of the Mozilla Public License"),
     ("reserved", "All rights reserved"),
 )
+#: Longer notices, as their licenses word them.
+NOTICES = (
+    (
+        "apache",
+        """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may
+        obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software
+        distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.""",
+    ),
+    (
+        "gpl",
+        """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the
+        Free Software Foundation, either version 3 of the License, or (at your option) any later version.""",
+    ),
+    (
+        "mit",
+        """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"),
+        to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense,
+        and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so""",
+    ),
+)
 #: Short notices differ by one word; at 0.9 a template of fewer than ten distinct words must be there as a whole.
 THRESHOLD = 0.9
 _APART = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
+def lowered(text: Column) -> Column:
+    return F.translate(F.coalesce(text.cast("string"), F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
+
+
 def spaced(text: Column) -> Column:
-    """The words of a text, lower-cased and one space apart."""
-    return F.trim(F.regexp_replace(F.lower(F.coalesce(text.cast("string"), F.lit(""))), _APART, " "))
+    """The words of a text, A-Z lower-cased and one space apart."""
+    return F.trim(F.regexp_replace(lowered(text), _APART, " "))
 
 
 def words_of(text: str) -> list[str]:
     return [w for w in re.split(_APART, text.lower()) if w]
 
 
+def _rows(docs: DataFrame) -> DataFrame:
+    """doc_id, did and th, which tell rows apart, and w, the words one space apart."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("did"), F.xxhash64(F.col("text").cast("string")).alias("th"), F.col("text"))
+    return rows.select("doc_id", "did", "th", spaced(F.col("text")).alias("w"))
+
+
 def phrase_places(docs: DataFrame, phrases: dict[str, str]) -> DataFrame:
-    """doc_id, n_words, n_base, first_word, last_word, base_list (sorted labels) for each row."""
-    rows = docs.select("doc_id", spaced(F.col("text")).alias("w"))
+    """doc_id, did, th, n_words, n_base, first_word, last_word, base_list (sorted labels) for each row."""
+    rows = _rows(docs)
     rows = rows.withColumn("p", F.concat(F.lit(" "), "w", F.lit(" ")))
     found = {p: F.contains("p", F.lit(f" {p} ")) for p in phrases}
     some = F.lit(False)
@@ -82,87 +112,70 @@ def phrase_places(docs: DataFrame, phrases: dict[str, str]) -> DataFrame:
     rows = rows.withColumn("words", F.split("w", " ")).withColumn("some", some)
     at = F.when(F.col("some"), F.concat(*[starts(p) for p in phrases])).otherwise(F.array().cast("array<int>"))
     labels = F.array_sort(F.array_distinct(F.array_compact(F.array(*[F.when(found[p], F.lit(x)) for p, x in phrases.items()]))))
-    rows = rows.select("doc_id", F.when(F.col("w") == "", 0).otherwise(F.size("words")).cast("long").alias("n_words"), at.alias("at"), labels.alias("base_list"))
+    rows = rows.select("doc_id", "did", "th", F.when(F.col("w") == "", 0).otherwise(F.size("words")).cast("long").alias("n_words"), at.alias("at"), labels.alias("base_list"))
     return rows.select(
-        "doc_id", "n_words", F.size("at").cast("long").alias("n_base"), F.array_min("at").cast("long").alias("first_word"),
+        "doc_id", "did", "th", "n_words", F.size("at").cast("long").alias("n_base"), F.array_min("at").cast("long").alias("first_word"),
         F.array_max("at").cast("long").alias("last_word"), "base_list",
     )
 
 
-def _blocks(docs: DataFrame) -> DataFrame:
-    lines = docs.select("doc_id", F.posexplode(F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), "\n")).alias("block", "line"))
-    return lines.select("doc_id", "block", F.split(spaced(F.col("line")), " ").alias("words"))
-
-
 def _need(n: int, threshold: float) -> int:
     return max(1, next(k for k in range(n + 1) if k >= threshold * n - 1e-9))
 
 
+def window_of(n_words: int) -> int:
+    """Words of a block for a template of so many words."""
+    return n_words + -(-n_words // 4)
+
+
 def _filters(docs: DataFrame, templates, threshold: float) -> tuple[list[tuple], list[tuple]]:
-    """(word, template) for the words of prefixes; (template, label, known, size, need, behind, length) for each template."""
-    sets = [(i, label, sorted(set(words_of(text))), len(words_of(text))) for i, (label, text) in enumerate(templates)]
+    """(word, template) for the words of prefixes; (template, label, known, size, need, length of a window) for each template."""
+    sets = [(i, label, sorted(set(words_of(text))), window_of(len(words_of(text)))) for i, (label, text) in enumerate(templates)]
     known = sorted({w for _, _, s, _ in sets for w in s})
-    counted = _blocks(docs).select(F.explode("words").alias("w")).where(F.col("w").isin(known)).groupBy("w").count()
+    words = F.filter(F.split(spaced(F.col("text")), " "), lambda x: x.isin(known))
+    counted = docs.select(F.explode(words).alias("w")).groupBy("w").count()
     often = {r["w"]: r["count"] for r in counted.collect()}  # no more rows than the templates have words
     prefixes, rows = [], []
     for i, label, s, length in sets:
         order = sorted(s, key=lambda w: (often.get(w, 0), w))
         need = _need(len(s), threshold)
-        head = order[: len(s) - need + 1]
-        prefixes += [(w, i) for w in head]
-        rows.append((i, label, s, len(s), need, len(s) - len(head), length))
+        prefixes += [(w, i) for w in order[: len(s) - need + 1]]
+        rows.append((i, label, s, len(s), need, length))
     return prefixes, rows
 
 
-_TABLE = "template int, label string, known array<string>, size int, need int, behind int, length int"
+_TABLE = "template int, label string, known array<string>, size int, need int, length int"
 
 
-def template_matches(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, filters=None) -> DataFrame:
-    """(doc_id, block, template, label, share): every line that holds at least the threshold of a template's words."""
-    spark = docs.sparkSession
-    prefixes, rows = filters or _filters(docs, templates, threshold)
-    heads = sorted({w for w, _ in prefixes})
-    least = min(r[4] for r in rows)
-    prefix = spark.createDataFrame(prefixes, "w string, template int")
-    table = spark.createDataFrame(rows, _TABLE)
-    blocks = _blocks(docs).where(F.arrays_overlap("words", F.array(*[F.lit(w) for w in heads])))
-    blocks = blocks.withColumn("words", F.array_distinct("words")).where(F.size("words") >= least)
-    hits = blocks.select("doc_id", "block", "words", F.explode("words").alias("w")).join(F.broadcast(prefix), "w")
-    hits = hits.groupBy("doc_id", "block", "words", "template").agg(F.count(F.lit(1)).alias("hits"))
-    pairs = hits.join(F.broadcast(table), "template").where((F.size("words") >= F.col("need")) & (F.col("hits") + F.col("behind") >= F.col("need")))
-    pairs = pairs.withColumn("common", F.size(F.array_intersect("words", "known"))).where(F.col("common") >= F.col("need"))
-    return pairs.select("doc_id", "block", "template", "label", (F.col("common") / F.col("size")).alias("share"))
-
-
-def window_matches(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, filters=None) -> DataFrame:
-    """(doc_id, template, label, share): templates of which a window of their own length, across lines, holds at least the threshold."""
+def window_matches(docs: DataFrame, templates=TEMPLATES + NOTICES, threshold: float = THRESHOLD) -> DataFrame:
+    """(did, th, template, label, share): templates of which some window holds at least the threshold."""
     spark = docs.sparkSession
-    prefixes, rows = filters or _filters(docs, templates, threshold)
+    prefixes, rows = _filters(docs, templates, threshold)
     heads = F.array(*[F.lit(w) for w in sorted({w for w, _ in prefixes})])
-    reach = max(r[6] for r in rows)
     table = spark.createDataFrame(prefixes, "w string, template int").join(spark.createDataFrame(rows, _TABLE), "template")
-    texts = docs.select("doc_id", F.split(spaced(F.col("text")), " ").alias("words")).where(F.arrays_overlap("words", heads))
-    places = texts.select("doc_id", "words", F.filter(F.sequence(F.lit(1), F.size("words")), lambda i: F.array_contains(heads, F.get("words", i - 1))).alias("at"))
+    texts = _rows(docs).select("did", "th", F.split("w", " ").alias("words")).where(F.arrays_overlap("words", heads))
+    reach = max(r[5] for r in rows)
 
     def near(i: Column) -> Column:
         first = F.greatest(i - (reach - 1), F.lit(1))
         return F.struct(F.get("words", i - 1).alias("w"), (i - first + 1).alias("i"), F.slice("words", first, F.lit(2 * reach - 1)).alias("near"))
 
-    hits = places.select("doc_id", F.explode(F.transform("at", near)).alias("p")).select("doc_id", "p.*").join(F.broadcast(table), "w")
+    # The join comes before the words around a place are cut out, and these before anything is written or dealt.
+    places = texts.select("did", "th", "words", F.filter(F.sequence(F.lit(1), F.size("words")), lambda i: F.array_contains(heads, F.get("words", i - 1))).alias("at"))
+    hits = places.select("did", "th", F.explode(F.transform("at", near)).alias("p")).select("did", "th", "p.*").join(F.broadcast(table), "w")
+    own = F.greatest(F.col("i") - F.col("length") + 1, F.lit(1))
+    hits = hits.withColumns({"near": F.slice("near", own, 2 * F.col("length") - 1), "i": F.col("i") - own + 1})
     hits = hits.where(F.size(F.array_intersect("near", "known")) >= F.col("need"))
-    starts = F.sequence(F.greatest(F.col("i") - F.col("length") + 1, F.lit(1)), F.col("i"))
-    common = F.array_max(F.transform(starts, lambda s: F.size(F.array_intersect(F.slice("near", s, F.col("length")), F.col("known")))))
-    return hits.withColumn("common", common).where(F.col("common") >= F.col("need")).select("doc_id", "template", "label", (F.col("common") / F.col("size")).alias("share"))
+    common = F.array_max(F.transform(F.sequence(F.lit(1), F.col("i")), lambda s: F.size(F.array_intersect(F.slice("near", s, F.col("length")), F.col("known")))))
+    return hits.withColumn("common", common).where(F.col("common") >= F.col("need")).select("did", "th", "template", "label", (F.col("common") / F.col("size")).alias("share"))
 
 
-def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, phrases: dict[str, str] | None = None) -> DataFrame:
+def scan(docs: DataFrame, templates=TEMPLATES + NOTICES, threshold: float = THRESHOLD, phrases: dict[str, str] | None = None) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score for each row."""
     phrases = phrases or PHRASES
-    base = phrase_places(docs, phrases).withColumnRenamed("doc_id", "id")
-    filters = _filters(docs, templates, threshold)
-    found = template_matches(docs, templates, threshold, filters).select("doc_id", "label", "share")
-    found = found.unionByName(window_matches(docs, templates, threshold, filters).select("doc_id", "label", "share")).groupBy("doc_id").agg(F.collect_set("label").alias("more"), F.max("share").alias("share"))
-    rows = base.join(found, F.col("id").eqNullSafe(F.col("doc_id")), "left")
+    base = phrase_places(docs, phrases)
+    found = window_matches(docs, templates, threshold).groupBy("did", "th").agg(F.collect_set("label").alias("more"), F.max("share").alias("share"))
+    rows = base.join(found.hint("shuffle_hash"), ["did", "th"], "left")
     labels = F.array_sort(F.array_union("base_list", F.coalesce("more", F.array().cast("array<string>"))))
     score = F.when(F.col("n_base") > 0, F.lit(1.0)).otherwise(F.coalesce("share", F.lit(0.0)))
-    return rows.select(F.col("id").cast("long").alias("doc_id"), "n_words", "n_base", "first_word", "last_word", F.array_join("base_list", ",").alias("base_labels"), F.array_join(labels, ",").alias("labels"), score.alias("score"))
+    return rows.select("doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("base_list", ",").alias("base_labels"), F.array_join(labels, ",").alias("labels"), score.alias("score"))

@@ -1,27 +1,36 @@
-"""License templates wrapped over lines, against all windows and lines."""
+"""License templates wrapped over lines, against all windows."""
 
 import random
 
 from corvine.llm import license_scan
 
+EVERY = license_scan.TEMPLATES + license_scan.NOTICES
+
 
 def _plain(text):
-    words, lines = license_scan.words_of(text), [set(license_scan.words_of(x)) for x in text.split("\n")]
+    words = license_scan.words_of(text)
     out = {}
-    for label, template in license_scan.TEMPLATES:
+    for label, template in EVERY:
         t = license_scan.words_of(template)
         need = license_scan._need(len(set(t)), license_scan.THRESHOLD)
-        windows = [set(words[s : s + len(t)]) for s in range(max(1, len(words) - len(t) + 1))]
-        common = max(len(set(t) & b) for b in windows + lines)
+        n = license_scan.window_of(len(t))
+        common = max(len(set(t) & set(words[s : s + n])) for s in range(max(1, len(words) - n + 1)))
         if common >= need:
             out[label] = max(out.get(label, 0), common / len(set(t)))
     return out
 
 
+def test_rows_do_not_share_labels(spark):
+    notice = "filler words\nreleased under the\nmit license"
+    rows = [(None, notice), (None, "plain text"), (1, "plain text"), (1, notice), (2, None), (3, "\u0130 RELEASED \u212aelvin"), (4, "released words " * 20_000 + "under the mit license")]
+    got = sorted((str(r.doc_id), r.labels, r.n_words) for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == sorted([("None", "mit", 7), ("None", "", 2), ("1", "", 2), ("1", "mit", 7), ("2", "", 0), ("3", "", 3), ("4", "mit", 40_004)])
+
+
 def test_wrapped_notices(spark):
     rnd = random.Random(3)
     texts = []
-    for _, template in license_scan.TEMPLATES:
+    for _, template in EVERY:
         for change in range(4):
             words = template.split()
             if change == 1:
