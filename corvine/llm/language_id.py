@@ -3,9 +3,9 @@ language, by cosine, with rejection by distance.
 
 Method. A text is lower-cased, everything but letters becomes a space, and the UTF-8 n-grams of 1 to 4 bytes are hashed into
 ``DIMS`` columns; counts are damped by 1 + ln, weighted by IDF and scaled to length one. Words with a digit in them count only where
-there is nothing else. Of the labelled rows a bounded sample trains: the ``SAMPLE`` rows a label (fewer, 20 at least, where all
-labels together would pass ``SAMPLE_ALL``), by expectation, with the smallest hashes of doc_id, whole texts; that bounds what
-reaches the driver. Each label's vectors are clustered by spherical k-means into up to ``CLUSTERS`` centroids. A text takes the label
+there is nothing else. Of the labelled rows a bounded sample trains: about ``SAMPLE`` rows a label (fewer, 20 at least, where all
+labels together would pass ``SAMPLE_ALL``), whole texts chosen by their hash; equal texts of a label are one row of the sample, so however
+many copies there are, and whatever the doc_ids, no more reach the driver. Each label's vectors are clustered by spherical k-means into up to ``CLUSTERS`` centroids. A text takes the label
 of the centroid with the largest cosine. The score is the share of that label in a softmax over the labels' best cosines. A
 text is rejected if its cosine is below a label's threshold: the smallest cosine of the label's own training vectors, less a
 margin; short texts have small cosines by nature, so the threshold falls with the square root of the number of n-grams.
@@ -13,7 +13,7 @@ margin; short texts have small cosines by nature, so the threshold falls with th
 Labels, and with them the centroids sent to the executors, are at most ``MOST_LABELS``; more is an error, not a silent cut.
 
 Defined cases. A null text, or one without a letter, is ``und`` with score 0 and rejected. Without any labelled row every text
-is. Labels may be any strings; null labels don't train. Repeated rows train and are predicted like others. Ties go to the
+is. Labels may be any strings; null labels don't train. Repeated rows train once and are predicted like others. Ties go to the
 label that sorts first.
 """
 
@@ -116,8 +116,8 @@ def _spread(v: np.ndarray, k: int, rounds: int) -> np.ndarray:
 
 
 def fit(labelled: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS) -> Model:
-    """Train on (doc_id, text, lang): at most ``sample`` rows a label reach the driver, chosen before the shuffle too."""
-    rows = labelled.where("lang is not null and text is not null").select("doc_id", "text", "lang", F.xxhash64(F.col("doc_id").cast("string"), F.lit("language")).alias("_h"))
+    """Train on (text, lang): about ``sample`` different texts a label reach the driver."""
+    rows = labelled.where("lang is not null and text is not null").select("text", "lang", F.xxhash64("text", F.lit("language")).alias("_h"))
     sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().limit(MOST_LABELS + 1).collect()}
     if len(sizes) > MOST_LABELS:
         raise ValueError(f"over {MOST_LABELS} labels")
@@ -128,10 +128,8 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS) ->
     share = F.create_map(*[x for lang, n in sizes.items() for x in (F.lit(lang), F.lit(min(1.0, sample / n)))])
     picked = rows.where(F.pmod("_h", F.lit(1 << 30)) / F.lit(float(1 << 30)) < F.try_element_at(share, F.col("lang")))
     by_label: dict[str, list[bytes]] = {}
-    for lang, raw in picked.select("lang", "text").mapInArrow(_counted, "lang string, counts binary").collect():
-        own = by_label.setdefault(lang, [])
-        if len(own) < 2 * sample:  # many rows with one doc_id could give more
-            own.append(bytes(raw))
+    for lang, raw in picked.dropDuplicates(["lang", "_h"]).select("lang", "text").mapInArrow(_counted, "lang string, counts binary").collect():
+        by_label.setdefault(lang, []).append(bytes(raw))
     for own in by_label.values():
         own.sort()
     labels = sorted(by_label)
