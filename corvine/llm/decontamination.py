@@ -4,13 +4,15 @@ Method. Words are runs of letters and digits in lower case (ASCII signs and whit
 (an item with fewer words is one shingle). A window has as many words as a benchmark item. A window that shares no shingle
 with an item has similarity zero, so only windows over places where a shingle of some item stands are fingerprinted, and of
 the item sizes only those of items with such a shingle: nothing that could pass is left out. A window's 64-bit SimHash comes from
-running sums of its shingles' signed bits. It is looked up in 8 tables, one for each byte, that hold every item under all bytes
-within 2 bits of its own: by the pigeonhole principle every item within 23 bits is found. Each such pair is then verified by the
-exact similarity, the weighted Jaccard of shingle counts, sum of minima over sum of maxima.
+running sums of its shingles' signed bits. It is compared with the fingerprints of the items of its size that have one of the document's
+shingles (an index of sorted shingles names them), by 8 blocks of a byte: an item stays if some block differs by 2 bits at most, which by the
+pigeonhole principle holds for every item within 23 bits, and if all blocks together differ by 23 at most. Each such pair is then verified by
+the exact similarity, the weighted Jaccard of shingle counts, sum of minima over sum of maxima.
 
 23 bits is four standard deviations beyond what 0.8 gives by expectation (about 10 of 64), and unrelated texts differ by 32.
 
-The benchmark reaches the executors in blocks of at most ``BLOCK_BYTES`` of text; a larger one takes a pass a block.
+The benchmark reaches the executors in blocks of at most ``BLOCK_BYTES`` of text, there about ten times as large in arrays; a larger one takes
+a pass a block.
 
 Defined cases. Null, empty and wordless documents or items match nothing. A document shorter than an item is one window. Items
 with equal word sequences are one class: item_id is its smallest id (null if there is none), n_items its size. Repeated
@@ -75,86 +77,83 @@ def similarity(a: Counter, b: Counter) -> float:
 
 
 class Items:
-    """The items of a block: shingles, fingerprints by size, and the byte tables."""
+    """The items of a block: shingles, fingerprints, and by shingle size the sorted shingles with the items that have them."""
 
     def __init__(self, rows: list[tuple[int | None, str | None]]):
         classes: dict[tuple[bytes, ...], list[int | None]] = {}
         for item, text in rows:
             if words := words_of(text):
                 classes.setdefault(tuple(words), []).append(item)
-        self.ids, self.counts, self.n, self.members = [], [], [], []
-        by_size: dict[int, list[int]] = {}
-        anchors: dict[int, dict[int, set[int]]] = {}
-        prints = []
-        for words, items in sorted(classes.items()):
-            size = min(SHINGLE, len(words))
-            g = shingles(list(words), size)
-            i = len(self.ids)
-            self.ids.append(min((x for x in items if x is not None), default=None))
-            self.members.append(len(items))
-            self.n.append(len(words))
-            self.counts.append(Counter(g.tolist()))
-            by_size.setdefault(len(words), []).append(i)
-            prints.append(_packed(_signs(g).sum(0, keepdims=True))[0])
-            for x in set(g.tolist()):
-                anchors.setdefault(size, {}).setdefault(x, set()).add(len(words))
-        self.by_size = {n: np.array(x) for n, x in by_size.items()}
-        self.prints = np.array(prints, np.uint64)
-        self.known = {s: np.sort(np.fromiter(x, np.uint64, len(x))) for s, x in anchors.items()}
-        self.sizes = anchors
-        self.sieve = {}
-        for s, x in self.known.items():
-            self.sieve[s] = np.zeros(1 << 20, bool)
-            self.sieve[s][(x >> np.uint64(44)).astype(np.int64)] = True
-        #: for each size and byte: (256, items) whether the item's byte is within EACH bits
-        near = np.bitwise_count(np.arange(256, dtype=np.uint8)[:, None] ^ np.arange(256, dtype=np.uint8)) <= EACH
-        self.tables = {n: near[:, self.prints[x].view(np.uint8).reshape(-1, BYTES)] for n, x in self.by_size.items()}
-
-    def anchored(self, words: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(shingle size, all shingles, places of known ones)."""
-        for s, known in self.known.items():
-            g = shingles(words, s)
-            at = np.flatnonzero(self.sieve[s][(g >> np.uint64(44)).astype(np.int64)])
-            if len(at):
-                at = at[known[np.minimum(np.searchsorted(known, g[at]), len(known) - 1)] == g[at]]
-            if len(at):
-                yield s, g, at
+        ordered = sorted(classes.items())
+        self.ids = [min((x for x in items if x is not None), default=None) for _, items in ordered]
+        self.members = [len(items) for _, items in ordered]
+        self.n = np.array([len(words) for words, _ in ordered], np.int64)
+        grams = [shingles(list(words), min(SHINGLE, len(words))) for words, _ in ordered]
+        del classes, ordered
+        self.prints = np.array([_packed(_signs(g).sum(0, keepdims=True))[0] for g in grams], np.uint64)
+        self.at = np.r_[0, np.cumsum([len(g) for g in grams], dtype=np.int64)]
+        self.grams = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
+        owner = np.repeat(np.arange(len(grams)), np.diff(self.at))
+        #: shingle size -> sorted shingles, the item of each, and a sieve of their first 20 bits
+        self.known = {}
+        for s in np.unique(np.minimum(self.n, SHINGLE)).tolist():
+            own = np.minimum(self.n, SHINGLE)[owner] == s
+            g, i = self.grams[own], owner[own]
+            by = np.lexsort((i, g))
+            sieve = np.zeros(1 << 20, bool)
+            sieve[(g >> np.uint64(44)).astype(np.int64)] = True
+            self.known[s] = g[by], i[by], sieve
+
+    def counts(self, i: int) -> Counter:
+        return Counter(self.grams[self.at[i] : self.at[i + 1]].tolist())
 
     def matches(self, text: str | None, threshold: float) -> dict[int, tuple[float, int, int, int]]:
         """Item class -> (similarity, first word, words, differing bits) of its best window, the first of equal ones."""
         words, best = words_of(text), {}
-        for s, g, at in self.anchored(words):
-            starts: dict[int, list[np.ndarray]] = {}
-            for p in at.tolist():
-                for n in self.sizes[s][int(g[p])]:
-                    most = max(0, len(words) - n)
-                    starts.setdefault(n, []).append(np.arange(min(most, max(0, p + s - n)), min(p, most) + 1))
-            for n, runs in starts.items():
-                self._windows(g, s, n, np.unique(np.concatenate(runs)), len(words), threshold, best)
+        for s, (known, item, sieve) in self.known.items():
+            g = shingles(words, s)
+            at = np.flatnonzero(sieve[(g >> np.uint64(44)).astype(np.int64)])
+            low, high = np.searchsorted(known, g[at], "left"), np.searchsorted(known, g[at], "right")
+            at, low, high = at[high > low], low[high > low], high[high > low]
+            if not len(at):
+                continue
+            # Which items share a shingle with the document, and for each item size the places of these shingles.
+            runs, which = np.unique(np.stack([low, high]), axis=1, return_inverse=True)
+            shared = [np.unique(item[a:b]) for a, b in runs.T.tolist()]
+            items = np.unique(np.concatenate(shared))
+            sizes = [set(self.n[x].tolist()) for x in shared]
+            for n in np.unique(self.n[items]).tolist():
+                here = at[np.array([n in x for x in sizes])[which.ravel()]]
+                most = max(0, len(words) - n)
+                first, last = np.minimum(np.maximum(here + s - n, 0), most), np.minimum(here, most)
+                edge = np.zeros(most + 2, np.int64)
+                np.add.at(edge, first, 1)
+                np.add.at(edge, last + 1, -1)
+                starts = np.flatnonzero(np.cumsum(edge[:-1]) > 0)
+                self._windows(g, s, n, starts, items[self.n[items] == n], len(words), threshold, best)
         return best
 
-    def _windows(self, g, s, n, starts, n_words, threshold, best) -> None:
+    def _windows(self, g, s, n, starts, items, n_words, threshold, best) -> None:
         m = min(n, n_words) - s + 1  # shingles of a window
-        for k in range(0, len(starts), 4096):  # windows that lie close are summed together
-            part = starts[k : k + 4096]
+        own = {}
+        for k in range(0, len(starts), 512):  # windows that lie close are summed together
+            part = starts[k : k + 512]
             for run in np.split(part, np.flatnonzero(np.diff(part) > 4 * n) + 1):
                 low = int(run[0])
                 sums = np.zeros((int(run[-1]) - low + m + 1, 64), np.int32)
                 np.cumsum(_signs(g[low : int(run[-1]) + m]), axis=0, out=sums[1:])
                 prints = _packed(sums[run - low + m] - sums[run - low])
-                items, table = self.by_size[n], self.tables[n]
-                by_byte = prints.view(np.uint8).reshape(-1, BYTES)
-                found = np.zeros((len(run), len(items)), bool)
-                for b in range(BYTES):
-                    found |= table[by_byte[:, b], :, b]
-                for w, i in zip(*np.nonzero(found), strict=True):
-                    item, start = int(items[i]), int(run[w])
-                    bits = int(np.bitwise_count(prints[w] ^ self.prints[item]))
-                    if bits > RADIUS:
-                        continue
-                    like = similarity(Counter(g[start : start + m].tolist()), self.counts[item])
-                    if like >= threshold and like > best.get(item, (0.0,))[0]:
-                        best[item] = (like, start, min(n, n_words), bits)
+                for c in range(0, len(items), 4096):
+                    some = items[c : c + 4096]
+                    blocks = np.bitwise_count((prints[:, None] ^ self.prints[some][None]).view(np.uint8).reshape(len(run), len(some), BYTES))
+                    bits = blocks.sum(2, dtype=np.int64)
+                    for w, i in zip(*np.nonzero((blocks.min(2) <= EACH) & (bits <= RADIUS)), strict=True):
+                        one, start = int(some[i]), int(run[w])
+                        if one not in own:
+                            own[one] = self.counts(one)
+                        like = similarity(Counter(g[start : start + m].tolist()), own[one])
+                        if like >= threshold and like > best.get(one, (0.0,))[0]:
+                            best[one] = (like, start, min(n, n_words), int(bits[w, i]))
 
 
 def _blocks(benchmark: DataFrame) -> Iterator[list]:
