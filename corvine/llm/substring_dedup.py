@@ -5,9 +5,12 @@ ones) is its anchor; equal windows have equal anchors. Consecutive windows of a
 anchor's hash as key. Keys that occur once in the corpus can hold no repeat and go. Equal segments of a key are grouped, with their
 number as weight, before anything is gathered, so a passage that a third of all documents hold is one row. The words of one segment of
 each group are fetched, segments are dealt by key and streamed in key order into shards of about ``SHARD_WORDS`` words that end
-between keys. Over each shard a compressed FM-index (wavelet matrix over the Burrows-Wheeler transform) is built; backward search from
-every window's end gives matching statistics, weighted by the groups' sizes, and windows of full length are reported. Reports
-are joined back to the documents that hold the segment, and the words covered are removed.
+between keys. Over each shard a compressed FM-index (wavelet matrix over the Burrows-Wheeler transform) is built; backward search gives matching
+statistics, weighted by the groups' sizes, and windows of full length are reported. From one end to the end before it the statistic falls
+by one at most, so one long search from a segment's last end decides every window that lies within its match; the windows
+left over are searched one by one. Reports are joined back to the documents that hold the segment, and the words covered are removed.
+
+Texts are cut into segments once; the keys, hashes and spans of a document are kept as packed arrays until the keys are counted.
 
 Counts of keys are map-side combined; joins by key are between freshly dealt sides, so adaptive execution can split a hot key. One key's
 *different* segments go to one shard: these are the edges of a passage in different contexts, at most a few for each document that holds it.
@@ -27,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvine.llm.common import durable, release, sliced
+from corvine.llm.common import durable, forget, sliced
 from corvine.llm.fm_index import FMIndex
 
 WINDOW, ANCHOR, SHARD_WORDS = 35, 10, 400_000
@@ -80,17 +83,31 @@ def segments(words: list[bytes], window: int, anchor: int) -> tuple[np.ndarray,
 
 
 def _segmented(window: int, anchor: int):
+    """keys, owns and spans of each document that has segments, as packed longs."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, "text"):
             found = [segments(words_of(t), window, anchor) for t in batch.column("text").to_pylist()]
-            number = np.fromiter((len(x[0]) for x in found), np.int64, len(found))
-            at = pa.array(np.repeat(np.arange(len(found)), number))
-            key, own, first, count = (np.concatenate(x) for x in zip(*found, strict=True))
-            yield pa.record_batch([pa.array(key), pa.array(own), batch.column("did").take(at), batch.column("th").take(at), pa.array(first * 64 + count)], ["key", "own", "did", "th", "span"])
+            at = pa.array([i for i, x in enumerate(found) if len(x[0])], pa.int64())
+            packed = [[x[0].tobytes(), x[1].tobytes(), (x[2] * 64 + x[3]).astype(np.int64).tobytes()] for x in found if len(x[0])]
+            columns = [pa.array([x[i] for x in packed], pa.binary()) for i in range(3)]
+            yield pa.record_batch([batch.column("did").take(at), batch.column("th").take(at), *columns], ["did", "th", "keys", "owns", "spans"])
 
     return run
 
 
+def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in sliced(batches, "keys"):
+        yield pa.record_batch([pa.array(np.concatenate([np.frombuffer(x, np.int64) for x in batch.column("keys").to_pylist()]))], ["key"])
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in sliced(batches, "keys"):
+        key, own, span = ([np.frombuffer(x, np.int64) for x in batch.column(c).to_pylist()] for c in ("keys", "owns", "spans"))
+        at = pa.array(np.repeat(np.arange(len(key)), [len(x) for x in key]))
+        yield pa.record_batch([pa.array(np.concatenate(key)), pa.array(np.concatenate(own)), batch.column("did").take(at), batch.column("th").take(at), pa.array(np.concatenate(span))], ["key", "own", "did", "th", "span"])
+
+
 def _cut_out(window: int):
     """The words of each wanted segment of a document."""
 
@@ -115,12 +132,16 @@ def repeated_windows(segs: list[list[bytes]], weights: np.ndarray, window: int)
     """For each segment a number whose bit i is 1 if its i-th window occurs twice or more in the shard."""
     ids: dict[bytes, int] = {}
     number = [np.array([ids.setdefault(w, len(ids) + 1) for w in s], np.int64) for s in segs]
-    index = FMIndex(number, weights, len(ids) + 1)
     count = np.fromiter((len(s) - window + 1 for s in segs), np.int64, len(segs))
-    owner = np.repeat(np.arange(len(segs)), count)
-    i = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+    index = FMIndex(number, weights, len(ids) + 1, int(count.max()) + window)
+    whole = index.matching(index.starts + count + window - 1, count + window - 1)
+    decided = np.maximum(whole - window + 1, 0)  # so many windows, from the last one on, lie within the match
+    bits = ((np.int64(1) << decided) - 1) << (count - decided)
+    # The last window itself is decided either way.
+    left = np.minimum(count - decided, count - 1)
+    owner = np.repeat(np.arange(len(segs)), left)
+    i = np.arange(len(owner)) - np.repeat(np.cumsum(left) - left, left)
     full = index.matching(index.starts[owner] + i + window, window) >= window
-    bits = np.zeros(len(segs), np.int64)
     np.bitwise_or.at(bits, owner[full], np.int64(1) << i[full])
     return bits.tolist()
 
@@ -160,10 +181,12 @@ def repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, shard_w
         raise ValueError("a segment has 58 windows at most")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = _identified(docs)
-    found = rows.select("did", "th", "text").mapInArrow(_segmented(window, anchor), "key long, own long, did long, th long, span long")
-    more = durable(found.groupBy("key").count().where("count > 1").select("key"))
-    found = durable(found.join(more, "key", "left_semi"))
-    release(docs.sparkSession)
+    packed = durable(rows.select("did", "th", "text").mapInArrow(_segmented(window, anchor), "did long, th long, keys binary, owns binary, spans binary"))
+    more = durable(packed.select("keys").mapInArrow(_keys, "key long").groupBy("key").count().where("count > 1").select("key"))
+    found = packed.mapInArrow(_unpacked, "key long, own long, did long, th long, span long")
+    found = durable(found.join(more.hint("shuffle_hash"), "key", "left_semi"))
+    forget(packed)
+    forget(more)
     groups = found.groupBy("key", "own").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("did", "th", "span")).alias("at"))
     wanted = groups.groupBy(F.col("at.did").alias("did"), F.col("at.th").alias("th")).agg(F.collect_list(F.struct("key", "own", "n", F.col("at.span").alias("span"))).alias("wanted"))
     texts = rows.select("did", "th", "text").join(wanted.hint("shuffle_hash"), ["did", "th"])
@@ -171,7 +194,6 @@ def repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, shard_w
     cut = texts.mapInArrow(_cut_out(window), "key long, own long, n long, windows int, words binary")
     bits = cut.repartition(parts, "key").sortWithinPartitions("key", "own").mapInArrow(_searched(window, shard_words), "key long, own long, bits long")
     bits = durable(bits.groupBy("key", "own").agg(F.max("bits").alias("bits")))
-    release(docs.sparkSession)
     return found.join(bits, ["key", "own"]).groupBy("did", "th").agg(F.collect_set(F.struct("span", "bits")).alias("spans"))
 
 
