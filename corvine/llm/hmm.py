@@ -1,52 +1,82 @@
 """LM scoring by a hidden Markov model; its parameters come from Baum-Welch counts aggregated across all partitions.
 
-Method. Every training document is counted: words, A-Z lower-cased, and one end a document. The words with the largest counts, at
-most ``OWN`` of them, are symbols of their own; every other word belongs to one of ``CLASSES`` symbols by its last two bytes and,
-within it, has probability (c + 1) / (T + 1), T being the sum of c + 1 over the class's training words: what is left goes to
-words never seen. States emit symbols. From seeded random parameters ``WARM`` + ``ROUNDS`` rounds of Baum-Welch run,
-each over all training documents, whose symbols are written once: each task adds its expected counts, one row a symbol, and a hash
-aggregation adds the tasks' rows. The parameters that reach the driver are bounded by OWN + CLASSES rows. The scaled forward
-recursion then gives the exact likelihood of each whole text.
+Method. Every training document is counted: words, A-Z lower-cased, and one end a document. The words with the largest counts,
+``SPREAD`` times the square root of the number of training tokens of them, are symbols of their own; every other word belongs to one of
+``CLASSES`` symbols by its last two bytes and, within it, has probability (c + 1) / (T + 1), T being the sum of c + 1 over the class's
+training words: what is left goes to words never seen. States emit symbols. Every document is written once as an array of symbols. From
+seeded random parameters rounds of Baum-Welch run, each over all training documents: each task adds its expected counts, one row a symbol,
+and a hash aggregation adds the tasks' rows. Rounds end when the likelihood of all training documents grows by less than ``TOLERANCE`` of
+itself, or after ``ROUNDS``. The scaled forward recursion then gives the exact likelihood of each whole text.
 
-Counts of words outside the bounded list, needed for the base score and for the classes, are found by a shuffled join on the
-word: every word of every document counts, however large the vocabulary.
+A text of more than ``PIECE`` tokens is cut into pieces that are worked on side by side: the matrix that each piece is to the recursion, the
+product of its moves and emissions, gives what enters every piece from either side, so results are those of the whole text.
+
+What reaches the driver and every worker, the words with symbols of their own and their parameters, grows with the square root of the
+corpus; counts of all other words, needed for the base score and for the classes, are found by a shuffled join on the
+word: every word of every document counts, however large the vocabulary. Of words with equal counts the smaller come first.
 
 Defined cases. A null or empty text is one end. A null doc_id is not held out. Without training documents all counts are zero. Repeated
-rows train and are scored as often as they occur. Words over 32 bytes are told apart by a 128-bit hash.
+rows train and are scored as often as they occur. Words over 32 bytes are told apart by a 128-bit hash. A task holds 40 bytes for each token
+of one text, or of ``TOGETHER`` tokens of several texts.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corvine.llm.common import durable, sliced
 
-STATES, OWN, CLASSES, WARM, ROUNDS, PRIOR = 8, 40_000, 1024, 12, 2, 20.0
+STATES, SPREAD, CLASSES, ROUNDS, TOLERANCE, PRIOR = 8, 4.0, 1024, 14, 1e-3, 20.0
+#: Sequences are packed side by side up to so many tokens; longer ones than PIECE are cut.
+TOGETHER, PIECE = 1 << 20, 2048
 END = b"\n"  # no word holds it
+_LEAST = -(1 << 63)
+
+
+class Tokens:
+    """The tokens of a batch of texts, without the ends: distinct words, and for each token its word and its text."""
 
+    def __init__(self, texts: pa.Array):
+        lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+        flat, text = lists.flatten(), pc.list_parent_indices(lists)
+        real = pc.greater(pc.binary_length(flat), 0)  # white space at either end leaves an empty piece
+        coded = flat.filter(real).dictionary_encode()
+        self.words = coded.dictionary.cast(pa.binary())
+        self.code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        self.text = text.filter(real).to_numpy(zero_copy_only=False).astype(np.int64)
+        self.lengths = np.bincount(self.text, minlength=len(texts)) + 1
 
-def words_of(text: str | None) -> list[bytes]:
-    """Keys of a text's tokens: words, lower-cased, then the end."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    words.append(END)
-    return words
+    def keys(self) -> pa.Array:
+        """A word of up to 32 bytes is its own key, a longer one has a hash."""
+        long = pc.greater(pc.binary_length(self.words), 32)
+        if not pc.any(long).as_py():
+            return self.words
+        hashed = pa.array([END + xxhash.xxh3_128_digest(w) for w in self.words.filter(long).to_pylist()], pa.binary())
+        return pc.replace_with_mask(self.words, long, hashed)
 
+    def classes(self) -> np.ndarray:
+        end = np.frombuffer(self.words.buffers()[1], np.int32)[self.words.offset :][: len(self.words) + 1].astype(np.int64)
+        data = np.frombuffer(self.words.buffers()[2] or b"", np.uint8)
+        last = data[end[1:] - 1].astype(np.int64)
+        one = end[1:] - end[:-1] > 1
+        return _class(last, np.where(one, data[np.maximum(end[1:] - 2, 0)], 0).astype(np.int64))
 
-def key_of(word: bytes) -> bytes:
-    return word if len(word) <= 32 else END + xxhash.xxh3_128_digest(word)
+
+def _class(last, before):
+    return ((before * 256 + last + 1) * 2654435761 >> 12) % CLASSES
 
 
 def class_of(word: bytes) -> int:
-    return xxhash.xxh32_intdigest(word[-2:]) % CLASSES
+    return int(_class(word[-1], word[-2] if len(word) > 1 else 0))
 
 
 def held_out(part: int = 2, parts: int = 7):
@@ -57,20 +87,12 @@ def held_out(part: int = 2, parts: int = 7):
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    seen: Counter[bytes] = Counter()
-
-    def out() -> pa.RecordBatch:
-        words = list(seen)
-        return pa.record_batch([pa.array(map(key_of, words), pa.binary()), pa.array(map(class_of, words), pa.int32()), pa.array(seen.values(), pa.int64())], ["key", "cls", "c"])
-
-    for batch in sliced(batches, "text", 1 << 20):
-        for text in batch.column("text").to_pylist():
-            seen.update(words_of(text))
-            if len(seen) > 200_000:
-                yield out()
-                seen.clear()
-    if seen:
-        yield out()
+    for batch in sliced(batches, "text"):
+        got = Tokens(batch.column("text"))
+        names = ["key", "cls", "c"]
+        count = np.bincount(got.code, minlength=len(got.words))
+        yield pa.record_batch([got.keys(), pa.array(got.classes().astype(np.int32)), pa.array(count.astype(np.int64))], names)
+        yield pa.record_batch([pa.array([END]), pa.array([class_of(END)], pa.int32()), pa.array([batch.num_rows], pa.int64())], names)
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -117,61 +139,115 @@ class Packed:
     def __init__(self, seqs: list[np.ndarray]):
         lengths = np.fromiter(map(len, seqs), np.int64, len(seqs))
         self.order = np.argsort(-lengths, kind="stable")
-        rank = np.empty(len(seqs), np.int64)
-        rank[self.order] = np.arange(len(seqs))
-        self.alive = len(seqs) - np.searchsorted(np.sort(lengths), np.arange(lengths.max()), side="right")
-        self.at = np.r_[0, np.cumsum(self.alive)]
+        self.rank = np.empty(len(seqs), np.int64)
+        self.rank[self.order] = np.arange(len(seqs))
+        self.last = lengths[self.order] - 1
+        alive = len(seqs) - np.searchsorted(np.sort(lengths), np.arange(lengths.max()), side="right")
+        self.at = np.r_[0, np.cumsum(alive)]
+        self.spans = list(zip(self.at[:-1].tolist(), alive.tolist(), strict=True))
         flat = np.concatenate(seqs)
-        who = np.repeat(np.arange(len(seqs)), lengths)
         time = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
         self.sym = np.empty(len(flat), np.int32)
-        self.sym[self.at[time] + rank[who]] = flat
-        self.rank = rank
+        self.sym[self.at[time] + np.repeat(self.rank, lengths)] = flat
 
-    def owner(self) -> np.ndarray:
-        return np.arange(len(self.sym)) - np.repeat(self.at[:-1], self.alive)
 
+class Pieces:
+    """Sequences cut into pieces: each piece's sequence, whether it is a sequence's first, and what enters it from either side."""
 
-def forward(model: Model, packed: Packed) -> np.ndarray:
-    """log10 likelihood of each sequence, in the order given."""
-    total = np.zeros(len(packed.rank))
+    def __init__(self, model: Model, seqs: list[np.ndarray], kind: type, back: bool):
+        cuts = [[s[i : i + PIECE] for i in range(0, len(s), PIECE)] for s in seqs]
+        number = np.fromiter(map(len, cuts), np.int64, len(cuts))
+        self.all = [x for c in cuts for x in c]
+        self.first = np.cumsum(number) - number
+        self.owner = np.repeat(np.arange(len(seqs)), number)
+        k = len(model.start)
+        self.enter = np.tile(model.start, (len(self.all), 1))
+        self.leave = np.ones((len(self.all), k))
+        cut = np.flatnonzero(number > 1)
+        which = np.flatnonzero(number[self.owner] > 1)
+        whole = _matrices(model, [self.all[i] for i in which.tolist()], kind) if len(which) else None
+        begin = 0
+        for i in cut.tolist():
+            a, n = int(self.first[i]), int(number[i])
+            own = whole[begin : begin + n]
+            begin += n
+            for j in range(1, n):
+                x = self.enter[a + j - 1] @ own[j - 1]
+                self.enter[a + j] = x @ model.move / x.sum()
+            for j in range(n - 2, -1, -1) if back else ():
+                y = model.move @ (own[j + 1] @ self.leave[a + j + 1])
+                self.leave[a + j] = y / y.sum()
+        self.enter, self.leave = self.enter.astype(kind), self.leave.astype(kind)
+
+
+def _matrices(model: Model, pieces: list[np.ndarray], kind: type) -> np.ndarray:
+    """What each piece does to what enters it, but for a factor: emission, move, emission, and so on."""
+    packed, k = Packed(pieces), len(model.start)
+    # Emissions as multiples of their largest, so that a few steps without scaling neither vanish nor overflow.
+    emit, move = (model.emit / model.emit.max(1, keepdims=True)).astype(kind), model.move.astype(kind)
+    out = np.empty((len(pieces), k, k), kind)
+    m = np.broadcast_to(np.eye(k, dtype=kind), out.shape)
+    for t, (at, n) in enumerate(packed.spans):
+        m = m[:n] if not t else (m[:n].reshape(-1, k) @ move).reshape(-1, k, k)
+        m = m * emit[packed.sym[at : at + n]][:, None, :]
+        if t % 8 == 7:
+            m /= m.sum((1, 2))[:, None, None]
+        done = n if t + 1 == len(packed.spans) else n - packed.spans[t + 1][1]
+        stop = packed.spans[t + 1][1] if t + 1 < len(packed.spans) else 0
+        if done:
+            out[packed.order[stop:n]] = m[stop:]
+    return out
+
+
+def forward(model: Model, seqs: list[np.ndarray]) -> np.ndarray:
+    """log10 likelihood of each sequence."""
+    pieces = Pieces(model, seqs, np.float64, False)
+    packed = Packed(pieces.all)
+    total = np.zeros(len(pieces.all))
     a = None
-    for t, n in enumerate(packed.alive.tolist()):
-        e = model.emit[packed.sym[packed.at[t] : packed.at[t] + n]]
-        a = (model.start if a is None else a[:n] @ model.move) * e
+    for at, n in packed.spans:
+        e = model.emit[packed.sym[at : at + n]]
+        a = (pieces.enter[packed.order] if a is None else a[:n] @ model.move) * e
         c = a.sum(1)
         a /= c[:, None]
         total[:n] += np.log10(c)
-    return total[packed.rank]
-
-
-def expected(model: Model, packed: Packed) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Baum-Welch counts of starts, moves and emissions."""
-    k = len(model.start)
-    emit, move = model.emit.astype(np.float32), model.move.astype(np.float32)
-    alpha = np.empty((len(packed.sym), k), np.float32)
-    scale = np.empty(len(packed.sym), np.float32)
-    prev = None
-    spans = list(zip(packed.at[:-1].tolist(), packed.alive.tolist(), strict=True))
-    for at, n in spans:
-        e = emit[packed.sym[at : at + n]]
-        a = (model.start.astype(np.float32) if prev is None else prev[:n] @ move) * e
-        c = a.sum(1)
+    return np.bincount(pieces.owner, weights=total[packed.rank], minlength=len(seqs))
+
+
+def expected(model: Model, seqs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """Baum-Welch counts of starts, moves and emissions, and the log10 likelihood of all sequences."""
+    k, kind = len(model.start), np.float32
+    pieces = Pieces(model, seqs, kind, True)
+    packed = Packed(pieces.all)
+    emit, move = model.emit.astype(kind), model.move.astype(kind)
+    alpha = emit[packed.sym]  # emissions first; each step turns its slice into the forward variables
+    scale = np.empty(len(packed.sym), kind)
+    ones, prev = np.ones(k, kind), None
+    for at, n in packed.spans:
+        a = alpha[at : at + n]
+        a *= pieces.enter[packed.order] if prev is None else prev[:n] @ move
+        c = a @ ones
         a /= c[:, None]
-        alpha[at : at + n], scale[at : at + n], prev = a, c, a
+        scale[at : at + n], prev = c, a
+    # What leaves a piece at its end, scaled so that forward and backward variables multiply to one.
+    last = alpha[packed.at[packed.last] + np.arange(len(packed.last))]
+    leave = pieces.leave[packed.order]
+    leave /= (last * leave).sum(1)[:, None]
     moves = np.zeros((k, k))
-    after = None  # emission times beta over scale of the next step
-    for at, n in reversed(spans):
+    after, back = np.zeros((0, k), kind), np.ascontiguousarray(move.T)  # after: emission times beta over scale of the next step
+    for at, n in reversed(packed.spans):
         a = alpha[at : at + n]
-        beta = np.ones((n, k), np.float32)
-        if after is not None:
-            moves += a[: len(after)].T @ after
-            beta[: len(after)] = after @ move.T
-        after = emit[packed.sym[at : at + n]] * beta / scale[at : at + n, None]
+        beta = np.concatenate([after @ back, leave[len(after) : n]])
+        moves += a[: len(after)].T @ after
+        after = emit[packed.sym[at : at + n]]
+        after *= beta
+        after /= scale[at : at + n, None]
         a *= beta
-    starts = alpha[: packed.alive[0]].sum(0).astype(float)
+    inner = np.setdiff1d(np.arange(len(pieces.all)), pieces.first)  # pieces that another comes before
+    moves += last[packed.rank[inner - 1]].T @ after[packed.rank[inner]]
+    starts = alpha[packed.rank[pieces.first]].sum(0).astype(float)
     emissions = np.stack([np.bincount(packed.sym, weights=alpha[:, j], minlength=len(emit)) for j in range(k)], 1)
-    return starts, moves * model.move, emissions
+    return starts, moves * model.move, emissions, float(np.log10(scale).sum(dtype=float))
 
 
 def improved(model: Model, starts: np.ndarray, moves: np.ndarray, emissions: np.ndarray) -> Model:
@@ -183,35 +259,52 @@ def improved(model: Model, starts: np.ndarray, moves: np.ndarray, emissions: np.
     return Model(model.words, model.counts, model.totals, model.n, model.v, start, move, emit / emit.sum(0, keepdims=True)) if k else model
 
 
-def _sequences(texts: list[str | None], symbols: Symbols) -> list[np.ndarray]:
-    get = symbols.__getitem__
-    return [np.fromiter(map(get, words), np.int32, len(words)) for words in map(words_of, texts)]
-
-
-def vocabulary(counts: DataFrame, own: int = OWN) -> Model:
-    """The bounded list of frequent words, class totals and corpus sums of a count table."""
+def vocabulary(counts: DataFrame, own: int | None = None) -> Model:
+    """The list of frequent words, class totals and corpus sums of a count table; ``own`` is for tests."""
+    whole = counts.agg(F.count(F.lit(1)).alias("v"), F.coalesce(F.sum("c"), F.lit(0)).alias("n")).first()
+    own = math.ceil(SPREAD * math.sqrt(whole["n"])) if own is None else own
+    plain = counts.where(F.substring("key", 1, 1) != F.lit(END))  # words themselves: neither the end nor hashes
+    # Bands of counts narrow the table to little more than the list; only the band that the list ends in is sorted.
     band = F.floor(F.log2(F.col("c").cast("double")) * 16).cast("int")
-    whole = {r["band"]: r for r in counts.groupBy(band.alias("band")).agg(F.count(F.lit(1)).alias("v"), F.sum("c").alias("n")).collect()}
     least, room = None, own
-    for b in sorted(whole, reverse=True):
-        room -= whole[b]["v"]
-        if room < 0:
+    for r in sorted(plain.groupBy(band.alias("band")).agg(F.count(F.lit(1)).alias("v")).collect(), key=lambda r: -r["band"]):
+        if r["v"] > room:
             break
-        least = b
-    top = counts.where(band >= least).collect() if least is not None else []
-    top = sorted(((bytes(r["key"]), r["c"]) for r in top if len(r["key"]) <= 32 and (bytes(r["key"]) == END or not bytes(r["key"]).startswith(END))), key=lambda x: (-x[1], x[0]))
+        least, room = r["band"], room - r["v"]
+    else:
+        room = 0
+    listed = plain.where(band >= least) if least is not None else plain.limit(0)
+    if room:
+        broken = plain if least is None else plain.where(band < least)
+        top = broken.agg(F.max(band)).first()[0]
+        listed = listed.unionByName(broken.where(band == top).orderBy(F.desc("c"), "key").limit(room))
+    table = listed.select("key", "c").unionByName(counts.where(F.col("key") == F.lit(END)).select("key", "c")).toArrow()
+    top = sorted(zip(table["key"].to_pylist(), table["c"].to_pylist(), strict=True), key=lambda x: (-x[1], x[0]))
     if all(w != END for w, _ in top):
-        ends = counts.where(F.col("key") == F.lit(END)).collect()
-        top.append((END, ends[0]["c"] if ends else 0))
-    listed = {w for w, _ in top}
+        top.append((END, 0))
     totals = np.zeros(CLASSES)
     for r in counts.groupBy("cls").agg(F.sum(F.col("c") + 1).alias("t")).collect():
         totals[r["cls"]] = r["t"]
     for w, c in top:
         if c:
             totals[class_of(w)] -= c + 1
-    assert len(listed) == len(top)
-    return Model([w for w, _ in top], np.array([c for _, c in top], np.int64), totals, sum(r["n"] for r in whole.values()), sum(r["v"] for r in whole.values()))
+    return Model([w for w, _ in top], np.array([c for _, c in top], np.int64), totals, whole["n"], whole["v"])
+
+
+def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """Sequences of several batches, up to ``TOGETHER`` tokens: long ones cost less side by side."""
+    held: list[np.ndarray] = []
+    size = 0
+    for batch in sliced(batches, "s", 4 * TOGETHER):
+        new = [np.frombuffer(x, np.int32) for x in batch.column("s").to_pylist()]
+        n = sum(map(len, new))
+        if held and size + n > TOGETHER:
+            yield held
+            held, size = [], 0
+        held += new
+        size += n
+    if held:
+        yield held
 
 
 def _expecting(sent):
@@ -219,28 +312,31 @@ def _expecting(sent):
         model = sent.value
         k = len(model.start)
         sums = None
-        for batch in sliced(batches, "s", 4 << 20):
-            got = expected(model, Packed([np.frombuffer(x, np.int32) for x in batch.column("s").to_pylist()]))
+        for seqs in _together(batches):
+            got = expected(model, seqs)
             sums = got if sums is None else tuple(a + b for a, b in zip(sums, got, strict=True))
         if sums is None:
             return
-        starts, moves, emissions = sums
-        rows = np.concatenate([starts[None], moves, emissions])  # symbol -1 - k: starts; -k to -1: moves; from 0: emissions
+        starts, moves, emissions, likelihood = sums
+        # symbol -2 - k: likelihood; -1 - k: starts; -k to -1: moves; from 0: emissions
+        rows = np.concatenate([np.full((1, k), likelihood), starts[None], moves, emissions])
         at = np.flatnonzero(rows.any(1))
-        yield pa.record_batch([pa.array(at.astype(np.int32) - 1 - k), *(pa.array(rows[at, j]) for j in range(k))], ["symbol", *(f"s{j}" for j in range(k))])
+        yield pa.record_batch([pa.array(at.astype(np.int32) - 2 - k), *(pa.array(rows[at, j]) for j in range(k))], ["symbol", *(f"s{j}" for j in range(k))])
 
     return run
 
 
-def baum_welch(seqs: DataFrame, model: Model) -> Model:
-    """One round over all sequences of ``seqs`` (column s)."""
+def baum_welch(seqs: DataFrame, model: Model) -> tuple[Model, float]:
+    """One round over all sequences of ``seqs`` (column s): the next model, and the log10 likelihood under this one."""
     sent, k = seqs.sparkSession.sparkContext.broadcast(model), len(model.start)
     names = [f"s{j}" for j in range(k)]
-    rows = seqs.mapInArrow(_expecting(sent), "symbol int, " + ", ".join(f"{x} double" for x in names))
-    sums = np.zeros((1 + k + len(model.emit), k))
-    for r in rows.groupBy("symbol").agg(*[F.sum(x).alias(x) for x in names]).collect():
-        sums[r["symbol"] + 1 + k] = [r[x] for x in names]
-    return improved(model, sums[0], sums[1 : 1 + k], sums[1 + k :])
+    rows = seqs.select("s").mapInArrow(_expecting(sent), "symbol int, " + ", ".join(f"{x} double" for x in names))
+    table = rows.groupBy("symbol").agg(*[F.sum(x).alias(x) for x in names]).toArrow()
+    sums = np.zeros((2 + k + len(model.emit), k))
+    if table.num_rows:
+        sums[table["symbol"].to_numpy() + 2 + k] = np.stack([table[x].to_numpy() for x in names], 1)
+    sent.unpersist()
+    return improved(model, sums[1], sums[2 : 2 + k], sums[2 + k :]), float(sums[0, 0])
 
 
 def _start(model: Model, states: int) -> Model:
@@ -254,83 +350,100 @@ def _start(model: Model, states: int) -> Model:
     return model
 
 
-def _symbols(sent):
+def _coded(sent):
+    """Each text as an array of symbols, the end last."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         symbols = sent.value.symbols()
         for batch in sliced(batches, "text"):
-            yield pa.record_batch([pa.array([s.tobytes() for s in _sequences(batch.column(0).to_pylist(), symbols)], pa.binary())], ["s"])
+            got = Tokens(batch.column("text"))
+            of = np.fromiter(map(symbols.__getitem__, got.words.to_pylist()), np.int32, len(got.words))
+            flat = np.full(len(got.code) + batch.num_rows, symbols[END], np.int32)
+            flat[np.arange(len(got.code)) + got.text] = of[got.code]
+            stop = np.cumsum(got.lengths)
+            seqs = [flat[a:b].tobytes() for a, b in zip((stop - got.lengths).tolist(), stop.tolist(), strict=True)]
+            yield pa.record_batch([*(batch.column(c) for c in ("doc_id", "did", "th")), pa.array(seqs, pa.binary())], ["doc_id", "did", "th", "s"])
 
     return run
 
 
-def train(docs: DataFrame, counts: DataFrame, states: int = STATES, rounds: int = ROUNDS, own: int = OWN) -> Model:
-    model = _start(vocabulary(counts, own), states)
+def _texts(docs: DataFrame) -> DataFrame:
+    """doc_id, did and th, which tell rows apart, and text."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
+    return rows.select("doc_id", F.coalesce("doc_id", F.lit(_LEAST)).alias("did"), F.xxhash64("text").alias("th"), "text")
+
+
+def coded(docs: DataFrame, model: Model) -> DataFrame:
+    """doc_id, did, th, s for every row of docs, written once."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    seqs = durable(docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_symbols(sent), "s binary"))
-    for _ in range(WARM + rounds):
-        model = baum_welch(seqs, model)
-    return model
+    return durable(_texts(docs).mapInArrow(_coded(sent), "doc_id long, did long, th long, s binary"))
 
 
-# ---- scoring ----
+def train(seqs: DataFrame, model: Model, states: int = STATES, rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> Model:
+    """Rounds of Baum-Welch over ``seqs`` (column s), from seeded random parameters, until the likelihood hardly grows."""
+    model, was = _start(model, states), None
+    for _ in range(rounds):
+        model, now = baum_welch(seqs, model)
+        if was is not None and now - was < tolerance * abs(was):
+            break
+        was = now
+    return model
 
 
-def _id(doc: int | None, text: str | None) -> bytes:
-    return xxhash.xxh3_128_digest(f"{doc}\n".encode() + (text or "").encode("utf-8", "surrogatepass"))
+# ---- scoring ----
 
 
 def _rare(sent):
-    """(id, key, tf) for the words without a symbol of their own."""
+    """(did, th, key, tf) for the words without a symbol of their own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = sent.value.symbols()
-        for batch in sliced(batches, "text", 4 << 20):
-            ids, keys, tf = [], [], []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                found = Counter(w for w in words_of(text) if w not in known)
-                ids += [_id(doc, text)] * len(found)
-                keys += map(key_of, found)
-                tf += found.values()
-            yield pa.record_batch([pa.array(ids, pa.binary()), pa.array(keys, pa.binary()), pa.array(tf, pa.int32())], ["id", "key", "tf"])
+        for batch in sliced(batches, "text"):
+            got = Tokens(batch.column("text"))
+            rare = np.fromiter((w not in known for w in got.words.to_pylist()), bool, len(got.words))
+            at = np.flatnonzero(rare[got.code])
+            pair, tf = np.unique(got.text[at] * len(got.words) + got.code[at], return_counts=True)
+            text, word = pa.array(pair // max(len(got.words), 1)), pa.array(pair % max(len(got.words), 1))
+            yield pa.record_batch([batch.column("did").take(text), batch.column("th").take(text), got.keys().take(word), pa.array(tf.astype(np.int32))], ["did", "th", "key", "tf"])
 
     return run
 
 
 def _scored(sent):
-    """id, doc_id, n_tokens, and of what the model alone gives: n_known, sum of log10(c + 1), log10 probability."""
+    """Of what the model alone gives: n_known, sum of log10(c + 1), log10 probability."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
-        symbols, own = model.symbols(), len(model.words)
+        own = len(model.words)
         logs = np.log10(np.concatenate([model.counts + 1, np.ones(CLASSES)]).astype(float))
         inside = np.concatenate([np.zeros(own), -np.log10(model.totals + 1)])
         known = np.concatenate([model.counts > 0, np.zeros(CLASSES, bool)])
-        for batch in sliced(batches, "text"):
-            docs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            seqs = _sequences(texts, symbols)
-            hidden = forward(model, Packed(seqs))
+        for batch in sliced(batches, "s", 4 * TOGETHER):
+            seqs = [np.frombuffer(x, np.int32) for x in batch.column("s").to_pylist()]
+            hidden = forward(model, seqs)
             yield pa.record_batch(
                 [
-                    pa.array(map(_id, docs, texts), pa.binary()), batch.column(0), pa.array(map(len, seqs), pa.int64()),
+                    *(batch.column(c) for c in ("doc_id", "did", "th")), pa.array(map(len, seqs), pa.int64()),
                     pa.array([int(known[s].sum()) for s in seqs], pa.int64()), pa.array([float(logs[s].sum()) for s in seqs], pa.float64()),
                     pa.array([h + float(inside[s].sum()) for h, s in zip(hidden.tolist(), seqs, strict=True)], pa.float64()),
                 ],
-                ["id", "doc_id", "n_tokens", "n_known", "logs", "hidden"],
+                ["doc_id", "did", "th", "n_tokens", "n_known", "logs", "hidden"],
             )
 
     return run
 
 
-def score(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, n_known, train_tokens, base_score, score for each row of docs."""
+def score(docs: DataFrame, seqs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
+    """doc_id, n_tokens, n_known, train_tokens, base_score, score for each row of docs, of which ``seqs`` is the ``coded`` form."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rare = texts.mapInArrow(_rare(sent), "id binary, key binary, tf int").join(counts.select("key", "c"), "key")
-    rare = rare.groupBy("id").agg(F.sum("tf").alias("rare_known"), F.sum(F.col("tf") * F.log10(F.col("c") + 1.0)).alias("rare_logs"))
-    rows = texts.mapInArrow(_scored(sent), "id binary, doc_id long, n_tokens long, n_known long, logs double, hidden double")
-    # Equal rows share an id and have added to its sums alike: they are divided by their number, then given back.
-    rows = rows.groupBy("id").agg(F.count(F.lit(1)).alias("copies"), *[F.first(c).alias(c) for c in ("doc_id", "n_tokens", "n_known", "logs", "hidden")])
-    rows = rows.join(rare, "id", "left").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    key = ["did", "th"]
+    rare = _texts(docs).select(*key, "text").mapInArrow(_rare(sent), "did long, th long, key binary, tf int").join(counts.select("key", "c"), "key")
+    rare = rare.groupBy(*key).agg(F.sum("tf").alias("rare_known"), F.sum(F.col("tf") * F.log10(F.col("c") + 1.0)).alias("rare_logs"))
+    rows = seqs.mapInArrow(_scored(sent), "doc_id long, did long, th long, n_tokens long, n_known long, logs double, hidden double")
+    # Equal rows share an identity and have added to its sums alike: they are divided by their number, then given back.
+    rows = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("copies"), *[F.first(c).alias(c) for c in ("doc_id", "n_tokens", "n_known", "logs", "hidden")])
+    rows = rows.join(rare, key, "left").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     more = F.coalesce(F.col("rare_logs") / F.col("copies"), F.lit(0.0))
     return rows.select(
         "doc_id", "n_tokens", (F.col("n_known") + F.coalesce(F.floor(F.col("rare_known") / F.col("copies")), F.lit(0))).cast("long").alias("n_known"), F.lit(model.n).cast("long").alias("train_tokens"),
@@ -340,7 +453,9 @@ def score(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
 
 def trained_and_scored(docs: DataFrame) -> DataFrame:
     """Train on the documents that aren't held out and score all."""
-    texts = docs.select("doc_id", "text")
-    training = texts.where(~held_out())
-    counts = durable(word_counts(training))
-    return score(texts, train(training, counts), counts).select("doc_id", held_out().alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    docs = docs.select("doc_id", "text")
+    counts = durable(word_counts(docs.where(~held_out())))
+    model = vocabulary(counts)
+    seqs = coded(docs, model)
+    model = train(seqs.where(~held_out()), model)
+    return score(docs, seqs, model, counts).select("doc_id", held_out().alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
