@@ -11,8 +11,12 @@ least; every meeting is verified. Keys have 32 bits.
 Likeness of two fingerprints is the cosine that SimHash estimates, cos(pi * differing / 64), 0 where that is negative; 1 for
 equal ones.
 
-Defined cases. A null text is empty; a text without words has fingerprint zero. Rows are in order of (doc_id, text), null
-doc_ids first; the row after the last is the first, so a lone row is its own next. Equal texts have equal fingerprints.
+Next documents. Ids and hashes of texts alone are put in order; each text is dealt once by its id and hash, and of the next text only as
+many characters as are needed travel to it. No text is sorted, and null or repeated ids are spread by their texts' hashes.
+
+Defined cases. A null text is empty; a text without words has fingerprint zero. Rows are in order of (doc_id, hash of the text), null
+doc_ids first; rows equal in both stand in one place and have equal results. The place after the last is the first, so a lone one is its
+own next. Equal texts have equal fingerprints; equal 64-bit hashes of different texts of one doc_id are taken for equal texts.
 """
 
 from __future__ import annotations
@@ -22,9 +26,8 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from corvine.llm.common import bucket_of, cut_points, durable
+from corvine.llm.common import durable, numbered
 
 HEAVIEST, BLOCKS, RADIUS = 16, 6, 3
 _LEAST = -(1 << 63)
@@ -84,43 +87,43 @@ def within(queries: DataFrame, index: DataFrame, radius: int = RADIUS) -> DataFr
     return met.where(F.bit_count(F.col("q").bitwiseXOR(F.col("fp"))) <= radius).select("q", "fp").distinct()
 
 
-def with_next(docs: DataFrame) -> DataFrame:
-    """Rows (bucket, at, next_bucket, next_at, doc_id, text, after): the next row's place and text.
+def with_next(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows (did, th, text, after), at least one for each place, and the places (did, th, doc_id, copies, next_did, next_th).
 
-    Rows are dealt by range of doc_id into a bounded number of buckets with fixed cut points; only a bucket's last row
-    looks beyond it, for the first row of the next bucket, a join of one row a bucket.
+    after: of the next place's text as many characters as a quarter of the row's own.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("key", F.coalesce("doc_id", F.lit(_LEAST)))
-    rows = rows.withColumn("bucket", bucket_of(F.col("key"), cut_points(rows.select("key"), "key")))
-    # One row for each of a bounded number of buckets.
-    first = {r["bucket"]: r["key"] for r in rows.groupBy("bucket").agg(F.min("key").alias("key")).collect()}
-    buckets = sorted(first)
-    following = dict(zip(buckets, buckets[1:] + buckets[:1], strict=True))
-    after = F.element_at(F.array(*[F.lit(following.get(b, 0)) for b in range(max(buckets, default=0) + 1)]), F.col("bucket") + 1)
-    heads = rows.where(F.col("key").isin(list(first.values()))).groupBy(F.col("bucket").alias("next_bucket")).agg(F.min("text").alias("head"))
-    by = Window.partitionBy("bucket").orderBy("key", "text")
-    rows = rows.withColumn("at", F.row_number().over(by)).withColumn("after", F.lead("text").over(by))
-    inner = rows.where("after is not null").select("bucket", "at", F.col("bucket").alias("next_bucket"), (F.col("at") + 1).alias("next_at"), "doc_id", "text", "after")
-    outer = rows.where("after is null").withColumn("next_bucket", after).join(heads.hint("merge"), "next_bucket").select("bucket", "at", "next_bucket", F.lit(1).alias("next_at"), "doc_id", "text", F.col("head").alias("after"))
-    return inner.unionByName(outer)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    rows = rows.select("doc_id", F.coalesce("doc_id", F.lit(_LEAST)).alias("did"), F.xxhash64("text").alias("th"), "text")
+    places = rows.groupBy("did", "th", "doc_id").agg(F.count(F.lit(1)).alias("copies"), F.max(F.floor(F.length("text") / 4)).cast("int").alias("tail"))
+    places = durable(numbered(places, ["did", "th"]))
+    n = max(places.count(), 1)
+    key = ["did", "th"]
+    after = places.select(((F.col("number") + n - 1) % n).alias("number"), F.col("did").alias("next_did"), F.col("th").alias("next_th"))
+    before = places.select(((F.col("number") + 1) % n).alias("number"), F.col("did").alias("prev_did"), F.col("th").alias("prev_th"), F.col("tail").alias("wanted"))
+    places = durable(places.join(after, "number").join(before, "number"))
+    texts = rows.select(*key, "text")
+    heads = texts.join(places.select(*key, "prev_did", "prev_th", "wanted").hint("shuffle_hash"), key)
+    heads = heads.select(F.col("prev_did").alias("did"), F.col("prev_th").alias("th"), F.expr("substring(text, 1, wanted)").alias("after")).dropDuplicates(key)
+    return texts.join(heads.hint("shuffle_hash"), key), places.select(*key, "doc_id", "copies", "next_did", "next_th")
 
 
 def compared(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fp, edited_fp, near_edited, near_next for each row."""
-    rows = with_next(docs)
+    rows, places = with_next(docs)
     n = F.length("text")
-    tail = F.floor(n / 4).cast("int")
-    edited = F.concat(F.substring("text", F.lit(1), n - tail), F.substring("after", F.lit(1), tail))
+    edited = F.concat(F.substring("text", F.lit(1), n - F.floor(n / 4).cast("int")), F.col("after"))
     both = F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("text").alias("text")), F.struct(F.lit(1).alias("side"), edited.alias("text"))))
-    place = ["bucket", "at", "next_bucket", "next_at", "doc_id"]
-    texts = rows.select(*place, both.alias("x")).select(*place, "x.side", "x.text")
+    key = ["did", "th"]
+    texts = rows.select(*key, both.alias("x")).select(*key, "x.side", "x.text")
     sides = texts.withColumn("n_chars", F.length("text").cast("long")).withColumn("sha", F.sha2(F.col("text").cast("binary"), 256))
-    fps = voted(sides, [*place, "side", "n_chars", "sha"])
-    own = fps.groupBy(*place).agg(
+    # Equal rows add the same votes, which changes no majority.
+    fps = voted(sides, [*key, "side", "n_chars", "sha"])
+    own = fps.groupBy(*key).agg(
         F.max(F.when(F.col("side") == 0, F.col("n_chars"))).alias("n_chars"), F.max(F.when(F.col("side") == 1, F.col("sha"))).alias("edited_sha256"),
         F.max(F.when(F.col("side") == 0, F.col("fp"))).alias("fp"), F.max(F.when(F.col("side") == 1, F.col("fp"))).alias("edited_fp"),
     )
     own = durable(own)
-    nexts = own.select(F.col("bucket").alias("next_bucket"), F.col("at").alias("next_at"), F.col("fp").alias("next_fp"))
-    out = own.join(nexts, ["next_bucket", "next_at"])
+    nexts = own.select(F.col("did").alias("next_did"), F.col("th").alias("next_th"), F.col("fp").alias("next_fp"))
+    out = own.join(places.hint("merge"), key).join(nexts.hint("merge"), ["next_did", "next_th"])
+    out = out.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     return out.select("doc_id", "n_chars", "edited_sha256", "fp", "edited_fp", likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"), likeness(F.col("fp"), F.col("next_fp")).alias("near_next"))

@@ -16,15 +16,17 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = durable(fingerprints.compared(documents(spark, sf_dir)))
-    # Search: documents with an id divisible by 20 against all; documents within 3 bits of each, itself included.
-    asked = rows.where("doc_id % 20 = 0")
-    counts = rows.groupBy("fp").agg(F.count(F.lit(1)).alias("n"))
-    near = fingerprints.within(asked, counts).join(counts, "fp").groupBy("q").agg(F.sum("n").alias("n_within_3"))
-    found = rows.join(near.withColumnRenamed("q", "fp"), "fp", "left")
+    # Search: documents with an id divisible by 20 against all. A class is the documents with one fingerprint, named by its smallest doc_id.
+    classes = rows.groupBy("fp").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("class_id"))
+    met = fingerprints.within(rows.where("doc_id % 20 = 0"), classes).join(classes.hint("merge"), "fp")
+    # At most 43,745 fingerprints are within 3 bits of one.
+    near = met.groupBy("q").agg(F.sum("n").alias("n_within_3"), F.array_sort(F.collect_set("class_id")).alias("near_classes"))
+    found = rows.join(classes.select("fp", "class_id").hint("merge"), "fp").join(near.withColumnRenamed("q", "fp").hint("merge"), "fp", "left")
+    asked = F.col("doc_id") % 20 == 0
     return found.select(
         "doc_id", "n_chars", "edited_sha256", simhash_dedup.hex_digits("fp").alias("fingerprint"),
-        simhash_dedup.hex_digits("edited_fp").alias("edited_fingerprint"), "near_edited", "near_next",
-        F.when(F.col("doc_id") % 20 == 0, F.col("n_within_3")).alias("n_within_3"),
+        simhash_dedup.hex_digits("edited_fp").alias("edited_fingerprint"), "near_edited", "near_next", "class_id",
+        F.when(asked, F.col("n_within_3")).alias("n_within_3"), F.when(asked, F.col("near_classes")).alias("near_classes"),
     )
 
 
@@ -98,7 +100,8 @@ FROM judged GROUP BY doc_id
 def _op9() -> str:
     low = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     word = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
-    values = ", ".join(f"({i}, '{label}', {sorted(set(license_scan.words_of(text)))})" for i, (label, text) in enumerate(license_scan.TEMPLATES))
+    every = license_scan.TEMPLATES + license_scan.NOTICES
+    values = ", ".join(f"({i}, '{label}', {sorted(set(license_scan.words_of(text)))}, {license_scan.window_of(len(license_scan.words_of(text)))})" for i, (label, text) in enumerate(every))
     return f"""
 WITH d AS (SELECT doc_id, regexp_extract_all({low}, {word}) AS w FROM documents),
 spots AS (
@@ -108,12 +111,13 @@ spots AS (
   FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d)
 ), base AS (
   SELECT doc_id, count(*) AS n, min(i) AS a, max(i) AS b, list_sort(list(DISTINCT label)) AS l FROM spots WHERE label IS NOT NULL GROUP BY doc_id
-), t(id, label, known) AS (VALUES {values}),
-blocks AS (
-  SELECT doc_id, list_distinct(regexp_extract_all({low.replace("coalesce(text, '')", "line")}, {word})) AS b
-  FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents)
-), found AS (
-  SELECT doc_id, label, len(list_intersect(b, known)) / len(known) AS share FROM blocks, t WHERE len(list_intersect(b, known)) >= ceil({license_scan.THRESHOLD} * len(known) - 1e-9)
+), t(id, label, known, n) AS (VALUES {values}),
+-- A window that has the most of a template's words can start at one of them.
+places AS (SELECT doc_id, i, w[i] AS x FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d)),
+found AS (
+  SELECT doc_id, label, len(list_intersect(w[i:i + n - 1], known)) / len(known) AS share
+  FROM places JOIN (SELECT *, unnest(known) AS x FROM t) USING (x) JOIN d USING (doc_id)
+  WHERE len(list_intersect(w[i:i + n - 1], known)) >= ceil({license_scan.THRESHOLD} * len(known) - 1e-9)
 ), more AS (SELECT doc_id, list(DISTINCT label) AS l, max(share) AS share FROM found GROUP BY doc_id)
 SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_base, a::BIGINT AS first_word, b::BIGINT AS last_word,
   coalesce(array_to_string(base.l, ','), '') AS base_labels,

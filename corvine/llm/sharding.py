@@ -6,8 +6,8 @@ result of N or more is permuted again until it is below N (cycle walking), which
 the permuted number, the shard is p mod shards and the slot p div shards: counts differ by one at most (law ``rows``), slots
 are gapless, and both can be computed from the row number alone.
 
-Global numbers without a global sort: doc_ids are cut into buckets at fixed quantiles, rows are numbered within buckets, and
-the buckets' offsets (a bounded number) are added by broadcast. Only ids, sizes and CRCs are shuffled, never texts.
+Global numbers: rows are dealt by range, numbered within partitions, and the partitions' offsets are added by broadcast, one row
+a partition; equal rows, however many, are spread. Only ids, sizes and CRCs are shuffled, never texts.
 
 Defined cases. A null text has size 1 and CRC 0. A null doc_id sorts first. Repeated rows each get a place of their own;
 equal in all order columns, they are interchangeable. An empty table gives an empty result.
@@ -55,9 +55,8 @@ def permuted(row: Column, n: int, seed: int = SEED, rounds: int = ROUNDS) -> tup
 def assign(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
     """doc_id, size, text_crc32, row_number, shard, slot for every row."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (F.coalesce(F.octet_length("text"), F.lit(0)) + F.lit(1)).cast("long").alias("size"), F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"))
-    rows, sizes = numbered(rows, ["doc_id", "size", "text_crc32"])
+    rows = numbered(rows, ["doc_id", "size", "text_crc32"]).withColumnRenamed("number", "row_number")
     n = docs.count()
-    rows = rows.join(F.broadcast(sizes.select("bucket", "before")), "bucket").withColumn("row_number", F.col("before") + F.col("at") - 1)
     first, place = permuted(F.col("row_number"), n, seed)
     rows = rows.withColumn("_place", first).withColumn("_place", place)
     # Compared in the row, so that an unfinished walk fails the job.

@@ -9,6 +9,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from corvine.llm import components, fm_index, hmm, language_id, license_scan, line_dedup, sharding, simhash_dedup, substring_dedup
 
@@ -51,16 +52,30 @@ def test_line_dedup(spark):
         want[i] = (len(lines), len(lines) - len(keep), _sha("\n".join(keep)))
     docs = _frame(spark, rows)
     assert {r.doc_id: (r.n_lines, r.n_dropped, r.kept_sha256) for r in line_dedup.digests(docs).collect()} == want
-    maps = {r.doc_id: r for r in line_dedup.keep_bitmaps(docs).collect()}
-    for i, (n, dropped, sha) in want.items():
-        bits = np.unpackbits(np.frombuffer(zlib.decompress(maps[i].keep_bitmap), np.uint8), bitorder="little")[:n]
-        assert n - bits.sum() == dropped and _sha(maps[i].kept) == sha
+    maps = {r.did: r.keep_bitmap for r in line_dedup.keep_bitmaps(docs).collect()}
+    for i, t in rows:
+        lines = (t or "").split("\n")
+        kept = line_dedup.kept_lines(lines, maps.get(i))
+        assert (len(lines), len(lines) - len(kept), _sha("\n".join(kept))) == want[i] and (i in maps) == (len(kept) < len(lines))
     out = line_dedup.apply(docs)
     assert out.columns == docs.columns
     assert {r.doc_id: _sha(r.text or "") for r in out.collect()} == {i: sha for i, (_, _, sha) in want.items()}
     assert line_dedup.digests(docs.limit(0)).collect() == []
 
 
+def test_line_dedup_tells_rows_apart(spark):
+    common = "This line stands in more than five of the documents"
+    unique = "\n".join(f"unique line {i} that is nowhere else at all, number {i}" for i in range(3))
+    rows = [*((i, common) for i in range(8)), (2, unique), (2, common), (None, common), (None, unique), (None, "short"), (7, f"{common}\n{unique}")]
+    docs = _frame(spark, rows)
+    want = sorted((str(i), "" if t == common and i != 7 else t) for i, t in rows)
+    assert sorted((str(r.doc_id), r.text) for r in line_dedup.apply(docs).collect()) == want
+    assert sorted((str(r.doc_id), r.kept_sha256) for r in line_dedup.digests(docs).collect()) == sorted((i, _sha(t)) for i, t in want)
+    long = "\n".join([common, *(f"{k} and so on for forty characters and more" for k in range(40_000)), common.upper() + " "])
+    (got,) = line_dedup.digests(_frame(spark, [*rows, (1, long)])).where(f"n_lines = {long.count(chr(10)) + 1}").collect()
+    assert got.n_dropped == 2
+
+
 # ---- sharding ----
 
 
@@ -123,6 +138,12 @@ def test_near_duplicates(spark):
     kept = simhash_dedup.deduplicated(docs)
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == sorted({c for _, _, c in want})
     assert simhash_dedup.near_duplicates(docs.limit(0)).collect() == []
+    far = 1 << 62
+    shared = [(2, "a b c d"), (2, "q r s t"), (9, "A b c d"), (None, "q R s t"), (None, "l m n o"), (None, "L m n o"), (far, "u v w x"), (far + 1, "u v w x"), (far, "u v w x")]
+    found = {(r.doc_id, r.component_id) for r in simhash_dedup.near_duplicates(_frame(spark, shared)).collect()}
+    assert found == {(2, 2), (9, 2), (None, 2), (None, None), (far, far), (far + 1, far)}
+    kept = sorted((str(r.doc_id), r.text.lower()) for r in simhash_dedup.deduplicated(_frame(spark, shared)).collect())
+    assert kept == sorted([("2", "a b c d"), ("2", "q r s t"), (str(far), "u v w x"), *[("None", x) for x in ("q r s t", "l m n o", "l m n o")]])
     nulls = simhash_dedup.near_duplicates(_frame(spark, [(None, "a b c d"), (None, "x y z w"), (3, "a b c d")])).collect()
     assert sorted(str(r.component_id) for r in nulls) == ["3", "3", "None"]
 
@@ -142,6 +163,37 @@ def test_golay_keys_meet_every_pair_within_three():
     assert len(np.unique(simhash_dedup.golay_index())) == 4096
 
 
+def test_long_runs_link_like_short_ones():
+    rng = np.random.default_rng(5)
+    seeds = rng.integers(0, 2**64, 60, dtype=np.uint64)
+    fps = [int(x) ^ sum(1 << int(b) for b in rng.choice(64, rng.integers(0, 3), replace=False)) for x in np.repeat(seeds, 20)]
+    fps = np.unique(np.array(fps, np.uint64))
+    side = rng.integers(0, 3, len(fps)).astype(np.int8)
+
+    def groups(pairs):
+        root = list(range(len(fps)))
+        for a, b in pairs:
+            while root[a] != a:
+                a = root[a]
+            while root[b] != b:
+                b = root[b]
+            root[max(a, b)] = min(a, b)
+        out = []
+        for x in range(len(fps)):
+            while root[x] != x:
+                x = root[x]
+            out.append(x)
+        return out
+
+    assert len(fps) > simhash_dedup.SHORT
+    assert groups(simhash_dedup.forest(fps, side, 3)) == groups(simhash_dedup._spanning(fps, side, 3, np.arange(len(fps))))
+
+
+def test_long_texts_are_fingerprinted_in_blocks():
+    text = " ".join(f"w{i * i % 977}" for i in range(40_000))
+    assert simhash_dedup.fingerprint(text) == _fingerprint(text)
+
+
 def test_components(spark):
     rnd = random.Random(6)
     edges = [(rnd.randrange(300), rnd.randrange(300)) for _ in range(220)] + [(i, i + 1) for i in range(400, 460)]
@@ -209,9 +261,38 @@ def test_substring_dedup(spark, shard_words):
         assert substring_dedup.digests(docs.limit(0)).collect() == []
 
 
+def test_substring_dedup_of_null_ids_and_long_texts(spark):
+    rnd = random.Random(11)
+    passage = " ".join(f"p{i}" for i in range(50))
+    long = [f"{rnd.randrange(10**9)}" for _ in range(70_000)]
+    rows = [(None, f"a {passage} b"), (None, f"c {passage}"), (None, None), (7, " ".join([*long, passage, *long[:35]])), (7, "only here")]
+    got = sorted((str(r.doc_id), r.n_words, r.n_removed) for r in substring_dedup.digests(_frame(spark, rows)).collect())
+    assert got == sorted([("None", 52, 50), ("None", 51, 50), ("None", 0, 0), ("7", 70_085, 120), ("7", 2, 0)])
+
+
 # ---- language ID ----
 
 
+def _predicted(model, text):
+    """Label and score by loops over n-grams, centroids and labels."""
+    raw = language_id.letters(text)
+    count = Counter()
+    for n in range(1, language_id.ORDERS + 1):
+        for i in range(len(raw) - n + 1):
+            code = 0
+            for b in raw[i : i + n]:
+                code = (code * 257 + b + 1) % 2**32
+            count[(code * 2654435769) % 2**32 >> 18] += 1
+    v = {k: (1 + math.log(c)) * float(model.idf[k]) for k, c in count.items()}
+    size = math.sqrt(sum(x * x for x in v.values()))
+    best = {}
+    for c, label in zip(model.centroids, model.label_of, strict=True):
+        best[label] = max(best.get(label, -1.0), sum(x * float(c[k]) for k, x in v.items()) / size)
+    top = max(best, key=lambda i: (best[i], -i))
+    share = [math.exp(language_id.SHARPNESS * (x - best[top])) for x in best.values()]
+    return model.labels[top], 1 / sum(share)
+
+
 def test_language_id(spark):
     rnd = random.Random(9)
     kinds = {"en": "the of and to in is that for it was on are".split(), "fr": "le la les des est une que pour dans qui sur avec".split(), "de": "der die und das ist nicht ein mit für auf den".split()}
@@ -227,6 +308,12 @@ def test_language_id(spark):
     assert len(got) == len(rows) + len(odd) and all(0 <= r.score <= 1 for r in got)
     kept = language_id.accepted(docs, model)
     assert kept.columns == docs.columns and kept.count() == len(rows) + 2
+    for text in [rows[0][1], rows[1][1], "der die the of", "x" * 50_000]:
+        assert model.predict([text])[0][:2] == pytest.approx(_predicted(model, text))
+    copies = docs.where("doc_id % 2 = 0").withColumn("doc_id", F.lit(None).cast("long"))
+    many = copies.where("text is not null").limit(1).crossJoin(spark.range(3000)).drop("id")
+    again = language_id.fit(copies.unionByName(many))
+    assert again.labels == model.labels and {r.lang_pred for r in language_id.predict(many, again).collect()} <= {*model.labels}
     none = language_id.fit(docs.where("lang is null"))
     assert {r.lang_pred for r in language_id.predict(docs, none).collect()} == {"und"}
     assert language_id.predict(docs.limit(0), model).collect() == []
@@ -248,14 +335,16 @@ def test_license_scan(spark):
 # ---- LM scoring ----
 
 
-def test_hmm_forward_and_counts_against_loops():
+@pytest.mark.parametrize("piece", [2, 3, 512])
+def test_hmm_forward_and_counts_against_loops(piece, monkeypatch):
+    monkeypatch.setattr(hmm, "PIECE", piece)
     rng = np.random.default_rng(3)
     k, s = 3, 7
     model = hmm.Model([b"a"], np.ones(1, np.int64), np.zeros(s - 1), 1, 1, rng.dirichlet(np.ones(k)), rng.dirichlet(np.ones(k), k), rng.dirichlet(np.ones(s), k).T)
     seqs = [rng.integers(0, s, n).astype(np.int32) for n in (1, 5, 3, 5, 9)]
-    packed = hmm.Packed(seqs)
-    starts, moves, emissions = hmm.expected(model, packed)
-    got = hmm.forward(model, packed)
+    starts, moves, emissions, likelihood = hmm.expected(model, seqs)
+    got = hmm.forward(model, seqs)
+    assert likelihood == pytest.approx(got.sum(), rel=1e-5)
     total = [np.zeros(k), np.zeros((k, k)), np.zeros((s, k))]
     for x, score in zip(seqs, got, strict=True):
         f = [model.start * model.emit[x[0]]]
@@ -296,10 +385,55 @@ def test_hmm_is_a_distribution_and_joins_rare_words(spark):
     rows = [(i, f"a b c rare{i} a") for i in range(40)]
     docs = _frame(spark, rows)
     counts = hmm.word_counts(docs).cache()
-    model = hmm.train(docs, counts, states=2, rounds=1, own=3)
-    assert len(model.words) <= 4 and model.emit.sum(0) == pytest.approx(1) and model.move.sum(1) == pytest.approx(1)
-    got = {r.doc_id: r for r in hmm.score(docs, model, counts).collect()}
+    model = hmm.vocabulary(counts, own=3)
+    seqs = hmm.coded(docs, model)
+    model = hmm.train(seqs, model, states=2, rounds=13, tolerance=0.0)
+    assert sorted(model.words) == [hmm.END, b"a", b"b", b"c"]
+    assert model.emit.sum(0) == pytest.approx(1) and model.move.sum(1) == pytest.approx(1)
+    got = {r.doc_id: r for r in hmm.score(docs, seqs, model, counts).collect()}
     n, v = 240, 44
     base = 2 * math.log10(81 / (n + v + 1)) + 3 * math.log10(41 / (n + v + 1)) + math.log10(2 / (n + v + 1))
     assert all(r.base_score == pytest.approx(base) and r.n_known == 6 for r in got.values())
     assert all(r.score > r.base_score for r in got.values())
+
+
+def _plain_score(model, totals, counts, tokens):
+    """log10 probability of one text, symbol by symbol and state by state."""
+    own = {w: i for i, w in enumerate(model.words)}
+    a, out = None, 0.0
+    for w in tokens:
+        e = model.emit[own.get(w, len(own) + hmm.class_of(w))]
+        a = [model.start[j] * e[j] if a is None else sum(a[i] * model.move[i][j] for i in range(len(e))) * e[j] for j in range(len(e))]
+        out += math.log10(sum(a)) + (0 if w in own else math.log10((counts[w] + 1) / (totals[hmm.class_of(w)] + 1)))
+        a = [x / sum(a) for x in a]
+    return out
+
+
+def test_hmm_score_against_one_text_at_a_time(spark):
+    rnd = random.Random(12)
+    texts = [" ".join(rnd.choice(["the", "Of", "AND", "\u00e9t\u00e9", f"w{rnd.randrange(300)}", "y" * 40 + str(rnd.randrange(9))]) for _ in range(rnd.randrange(0, 40))) for _ in range(90)]
+    texts += [None, "", " \n", " a\x0bb\x0cc\xa0d\x85e ", " ".join(f"w{rnd.randrange(300)}" for _ in range(3000))]
+    docs = _frame(spark, [*enumerate(texts), (None, "the of"), (None, "w1 new"), (5, texts[5])])
+    training = docs.where(~hmm.held_out())
+    counts = hmm.word_counts(training).cache()
+    model = hmm.vocabulary(counts, own=20)
+    seqs = hmm.coded(docs, model)
+    model = hmm.train(seqs.where(~hmm.held_out()), model, states=3, rounds=3)
+    tokens = lambda t: [*(t or "").encode().lower().split(), hmm.END]
+    c = Counter(w for r in training.collect() for w in tokens(r.text))
+    plain = sorted((w for w in c if w != hmm.END and len(w) <= 32), key=lambda w: (-c[w], w))[:20]
+    assert set(model.words) == {*plain, hmm.END}
+    totals = Counter()
+    for w, n in c.items():
+        if w not in model.words:
+            totals[hmm.class_of(w)] += n + 1
+    want = sorted((str(r.doc_id), round(_plain_score(model, totals, c, tokens(r.text)), 6)) for r in docs.collect())
+    got = sorted((str(r.doc_id), round(r.score, 6)) for r in hmm.score(docs, seqs, model, counts).collect())
+    assert [x[0] for x in got] == [x[0] for x in want]
+    np.testing.assert_allclose([x[1] for x in got], [x[1] for x in want], rtol=1e-6, atol=1e-5)
+
+
+def test_hmm_vocabulary_of_equal_counts(spark):
+    counts = spark.createDataFrame([(f"w{i:04}".encode(), hmm.class_of(f"w{i:04}".encode()), 3) for i in range(500)], "key binary, cls int, c long")
+    assert hmm.vocabulary(counts, own=7).words == [*(f"w{i:04}".encode() for i in range(7)), hmm.END]
+    assert len(hmm.vocabulary(counts).words) == math.ceil(hmm.SPREAD * math.sqrt(1500)) + 1

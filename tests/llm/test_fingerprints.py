@@ -62,6 +62,16 @@ def test_repeated_null_and_empty(spark):
     assert one[0].near_next == 1.0
 
 
+def test_half_of_the_ids_null(spark):
+    texts = [f"some words of text {i} {'x' * (i % 7)}" for i in range(200)]
+    docs = spark.createDataFrame([(None if i % 2 else i, t) for i, t in enumerate(texts)] + [(4, texts[4])] * 3, "doc_id long, text string")
+    rows, places = fp.with_next(docs)
+    places = {(r.did, r.th): (r.next_did, r.next_th) for r in places.collect()}
+    order = sorted(places)
+    assert len(order) == 200 and all(places[a] == b for a, b in zip(order, order[1:] + order[:1], strict=True))
+    assert sorted(r.fp for r in fp.compared(docs).collect()) == sorted(_fingerprint(t) for t in texts + [texts[4]] * 3)
+
+
 def test_block_tables(spark):
     rng = np.random.default_rng(0)
     base = rng.integers(-(2**63), 2**63, 200)
