@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvine.operators.tfidf import pair_cosine
+from corvine.operators import tfidf
+from corvine.sources.stages import stage
+from corvine.sources.tables import read_parquet, write_parquet
 
 NAME_WEIGHT, ADDRESS_WEIGHT = 0.6, 0.4
 _RAW = {"business_name": "name", "business_address": "address", "country": "country"}
@@ -41,11 +43,14 @@ def _flags() -> dict[str, Column]:
 
 def features(joined: DataFrame, name_vocabulary: DataFrame, address_vocabulary: DataFrame) -> DataFrame:
     """TF-IDF similarities, flags and the combined score of a scoring input; the score is made before rounding."""
-    rows = joined
+    sides = {kind: (f"s1_norm_{kind}", f"cand_norm_{kind}") for kind in ("name", "address")}
+    rows = joined.withColumns({f"_{kind}_{side}": tfidf.text_id(F.col(c)) for kind, columns in sides.items() for side, c in zip("ab", columns, strict=True)})
     for kind, vocabulary in (("name", name_vocabulary), ("address", address_vocabulary)):
-        a, b = f"s1_norm_{kind}", f"cand_norm_{kind}"
-        like = pair_cosine(joined.select(a, b), a, b, vocabulary).withColumnRenamed("similarity", f"_{kind}")
-        rows = rows.join(like, [a, b], "left")
+        a, b = sides[kind]
+        texts = joined.select(F.col(a).alias("t")).distinct().unionByName(joined.select(F.col(b).alias("t")).distinct())
+        ids = rows.select(F.col(f"_{kind}_a").alias("id_a"), F.col(f"_{kind}_b").alias("id_b"))
+        like = tfidf.cosines(ids, stage(tfidf.vectors(texts, "t", vocabulary)))
+        rows = rows.join(like.toDF(f"_{kind}_a", f"_{kind}_b", f"_{kind}"), [f"_{kind}_a", f"_{kind}_b"], "left")
     name, address = F.coalesce("_name", F.lit(0.0)), F.coalesce("_address", F.lit(0.0))
     return rows.select(
         "source1_entity_id", "candidate_id", F.bround(name, 4).alias("name_similarity"), F.bround(address, 4).alias("address_similarity"),
@@ -100,3 +105,12 @@ def build_name_vectors(names: DataFrame, encode, batch_size: int = 256) -> DataF
                 yield pd.DataFrame({"name": part.to_numpy(), "embedding": list(v)})
 
     return names.select("name").mapInPandas(run, "name string, embedding array<float>")
+
+
+def save_vectors(vectors: DataFrame, path: str, force: bool = False) -> None:
+    write_parquet(vectors.select("name", "embedding"), path, force)
+
+
+def load_vectors(spark: SparkSession, path: str) -> DataFrame:
+    """(name, embedding) as ``save_vectors`` wrote it."""
+    return read_parquet(spark, path, ["name", "embedding"])

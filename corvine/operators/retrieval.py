@@ -8,14 +8,20 @@ then with its first ``sample`` records. A candidate is placed by the first key t
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from corvine.functions.keys import blocking_keys, clean_country, tier
 from corvine.functions.text import normalize_frame
+from corvine.sources import tables
 from corvine.sources.stages import stage
 
 
@@ -46,22 +52,22 @@ def block_stats(pool_keys: DataFrame) -> DataFrame:
 def retrieve(s1: DataFrame, pool: DataFrame, limits: Limits | None = None) -> DataFrame:
     """(source1_entity_id, candidate_id, rank from 1). pool has src and ord, which give its order."""
     limits = limits or Limits()
-    # Keys are read several times; text work is done once.
-    left, right = stage(record_keys(s1)), stage(record_keys(pool))
-    stats = block_stats(right)
+    # Of each block at most max_block + 1 postings are kept, pruned on the map side, so no block is gathered however large it is; blocks
+    # are dealt once, and their sizes, as far as they matter, come from the same partitioning.
+    block = Window.partitionBy("country", "block_key")
+    right = record_keys(pool).select("country", "block_key", F.col("entity_id").alias("candidate_id"), "src", "ord")
+    right = right.withColumn("at", F.row_number().over(block.orderBy("src", "ord"))).where(F.col("at") <= max(limits.max_block + 1, limits.sample))
+    postings = stage(right.withColumn("n", F.max("at").over(block)).where((F.col("n") <= limits.max_block) | (F.col("at") <= limits.sample)))
+    keys = record_keys(s1).join(postings.where("at = 1").select("country", "block_key", "n"), ["country", "block_key"])
     by_record = Window.partitionBy("entity_id").orderBy("pos")
-    keys = left.join(stats, ["country", "block_key"])
-    keys = keys.withColumn("first", F.min("pos").over(Window.partitionBy("entity_id")))
     # A block behind one that alone fills the cap can add nothing.
     filled = F.max(F.when(F.col("n") <= limits.max_block, F.col("n"))).over(by_record.rowsBetween(Window.unboundedPreceding, -1))
-    keys = keys.withColumn("filled", filled).where((F.col("n") <= limits.max_block) | (F.col("pos") == F.col("first")))
-    keys = keys.where(F.coalesce("filled", F.lit(0)) < limits.cap).select(F.col("entity_id").alias("source1_entity_id"), "country", "block_key", "pos")
-    # Of an oversize block only the head is kept before the join; the row number is pruned on the map side.
-    sized = right.select("country", "block_key", F.col("entity_id").alias("candidate_id"), "src", "ord").join(stats, ["country", "block_key"])
-    head = F.row_number().over(Window.partitionBy("country", "block_key").orderBy("src", "ord"))
-    large = sized.where(F.col("n") > limits.max_block).withColumn("at", head).where(F.col("at") <= limits.sample).drop("at")
-    postings = sized.where(F.col("n") <= limits.max_block).unionByName(large)
-    found = keys.join(postings, ["country", "block_key"]).groupBy("source1_entity_id", "candidate_id").agg(F.min(F.struct("pos", "src", "ord")).alias("place"))
+    keys = keys.withColumns({"first": F.min("pos").over(Window.partitionBy("entity_id")), "filled": filled})
+    keys = keys.where((F.col("n") <= limits.max_block) | (F.col("pos") == F.col("first"))).where(F.coalesce("filled", F.lit(0)) < limits.cap)
+    keys = keys.select(F.col("entity_id").alias("source1_entity_id"), "country", "block_key", "pos")
+    # Dealt by record once, for the candidates' places and for the top-k; a record meets at most its keys times max_block postings.
+    met = keys.join(postings.select("country", "block_key", "candidate_id", "src", "ord"), ["country", "block_key"]).repartition("source1_entity_id")
+    found = met.groupBy("source1_entity_id", "candidate_id").agg(F.min(F.struct("pos", "src", "ord")).alias("place"))
     best = F.row_number().over(Window.partitionBy("source1_entity_id").orderBy("place", "candidate_id"))
     return found.withColumn("rank", best).where(F.col("rank") <= limits.cap).select("source1_entity_id", "candidate_id", "rank")
 
@@ -81,29 +87,63 @@ def id_pairs(compacted: DataFrame) -> DataFrame:
     return rows.where(F.octet_length("candidate_id") > 0)
 
 
-def pair_batches(pairs: DataFrame, size: int = 200_000):
-    """Lists of at most ``size`` rows, streamed partition by partition; a record's rows stay together unless they alone pass it."""
-    batch, group = [], []
-
-    def closed():
-        nonlocal batch, group
-        out = []
-        if batch and len(batch) + len(group) > size:
-            out.append(batch)
-            batch = []
-        batch += group
-        group = []
-        while len(batch) > size:
-            out.append(batch[:size])
-            batch = batch[size:]
-        return out
-
-    for row in pairs.orderBy("source1_entity_id").toLocalIterator():
-        if group and group[-1]["source1_entity_id"] != row["source1_entity_id"]:
-            yield from closed()
-        group.append(row)
-        if len(group) >= 2 * size:
-            yield from closed()
-    yield from closed()
-    if batch:
-        yield batch
+def with_batches(pairs: DataFrame, size: int = 200_000) -> DataFrame:
+    """pairs with ``batch``, numbers of batches of at most ``size`` rows: a record's rows stay together unless they alone pass it.
+
+    Batches are numbered within partitions by source record, ``part`` first, so nothing goes through the driver or a global sort.
+    """
+    rows = pairs.repartition("source1_entity_id").sortWithinPartitions("source1_entity_id", "candidate_id")
+    schema = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("batch", T.LongType()), *pairs.schema.fields])
+    at = pairs.columns.index("source1_entity_id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+        held: list[pa.RecordBatch] = []  # rows of the record that the rows so far end in
+        batch, filled = 0, 0
+
+        def closed() -> Iterator[pa.RecordBatch]:
+            nonlocal batch, filled
+            n = sum(x.num_rows for x in held)
+            if filled and filled + n > size:
+                batch, filled = batch + 1, 0
+            for x in held:
+                done = 0
+                while done < x.num_rows:
+                    if filled == size:
+                        batch, filled = batch + 1, 0
+                    take = min(size - filled, x.num_rows - done)
+                    numbers = [pa.array(np.full(take, part, np.int32)), pa.array(np.full(take, batch, np.int64))]
+                    yield pa.record_batch([*numbers, *x.slice(done, take).columns], schema.names)
+                    done, filled = done + take, filled + take
+            held.clear()
+
+        for piece in batches:
+            ids = piece.column(at).to_pylist()
+            cuts = [0, *(i for i in range(1, len(ids)) if ids[i] != ids[i - 1]), len(ids)]
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                if held and held[-1].column(at)[0].as_py() != ids[a]:
+                    yield from closed()
+                held.append(piece.slice(a, b - a))
+                if sum(x.num_rows for x in held) >= 2 * size:
+                    yield from closed()
+        yield from closed()
+
+    return rows.mapInArrow(run, schema)
+
+
+def pair_batches(pairs: DataFrame, size: int = 200_000) -> Iterator[list]:
+    """Lists of at most ``size`` rows for a reader on the driver; it holds one partition at a time."""
+    rows, own = [], None
+    for row in with_batches(pairs, size).toLocalIterator():
+        if rows and (row["part"], row["batch"]) != own:
+            yield rows
+            rows = []
+        own = row["part"], row["batch"]
+        rows.append(row)
+    if rows:
+        yield rows
+
+
+def pairs_from_tsv(spark: SparkSession, path: str) -> DataFrame:
+    """(source1_entity_id, candidate_id) of a candidate table on disk, as ``write_tsv`` of a compact table wrote it."""
+    return id_pairs(tables.read_tsv(spark, path, tables.CANDIDATES, blanks=True))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from corvine.functions.text import normalize_frame
 from corvine.operators import decision, metrics, model, pairs, retrieval, tfidf
 from corvine.sources import tables
+from corvine.sources.stages import stage
 
 SPLITS, SOURCES = ("train", "test"), (1, 2, 3)
 
@@ -51,7 +52,14 @@ def vocabularies(sources: list[DataFrame], fit_rows: int) -> tuple[DataFrame, Da
 
 
 def score(found: DataFrame, s1: DataFrame, pool: DataFrame, names: DataFrame, addresses: DataFrame) -> DataFrame:
-    return pairs.features(pairs.for_scoring(found.select("source1_entity_id", "candidate_id"), s1, pool), names, addresses)
+    return pairs.features(stage(pairs.for_scoring(found.select("source1_entity_id", "candidate_id"), s1, pool)), names, addresses)
+
+
+def score_to(found: DataFrame, s1: DataFrame, pool: DataFrame, vocabulary: str, target: str, buckets: int = 35, only: int | None = None) -> list[int]:
+    """Score into resumable buckets by a saved vocabulary; buckets that are finished are left out before anything is scored."""
+    spark = s1.sparkSession
+    names, addresses = (tfidf.load_vocabulary(spark, vocabulary, field) for field in ("name", "address"))
+    return tables.write_in_buckets(score(found, s1, pool, names, addresses), target, "source1_entity_id", buckets, only)
 
 
 def match(scored: DataFrame, s1: DataFrame, tsv: str, threshold: float, force: bool = False) -> None:
@@ -66,7 +74,10 @@ def holdout(s1: DataFrame, s2: DataFrame, s3: DataFrame, truth: DataFrame, n_s1:
     every = s2.unionByName(s3)
     true = every.join(known.select(F.col("matched_id").alias("entity_id")).distinct(), "entity_id", "left_semi")
     others = tables.head(s2, n_distractors // 2).unionByName(tables.head(s3, n_distractors // 2)).join(true.select("entity_id"), "entity_id", "left_anti")
-    return some, true.unionByName(others), known
+    # Of records that share an id the first by source and order stays.
+    rows = true.unionByName(others)
+    first = rows.groupBy("entity_id").agg(F.min(F.struct("src", "ord")).alias("_k")).select("entity_id", "_k.src", "_k.ord")
+    return some, rows.join(first, ["entity_id", "src", "ord"], "left_semi").dropDuplicates(["entity_id"]), known
 
 
 def evaluate(s1: DataFrame, pool: DataFrame, truth: DataFrame, config: Config | None = None) -> tuple[DataFrame, DataFrame]:
@@ -83,7 +94,7 @@ def tune(scored: DataFrame, s1: DataFrame, truth: DataFrame, config: Config | No
 
 def train(scored: DataFrame, s1: DataFrame, truth: DataFrame, path: str, thresholds: tuple[float, ...] = tuple(i / 20 for i in range(6, 19))) -> float:
     """Train on one part of the records, choose the threshold on the other, save both; returns the threshold."""
-    learn, rest = model.split_records(metrics.labelled(scored, truth))
+    learn, rest = model.split_records(stage(metrics.labelled(scored, truth)))
     fitted = model.train(learn)
     probed = model.predict(fitted, rest)
     spine = s1.select(F.col("entity_id").alias("source1_entity_id")).join(rest.select("source1_entity_id").distinct(), "source1_entity_id", "left_semi")
@@ -95,7 +106,7 @@ def train(scored: DataFrame, s1: DataFrame, truth: DataFrame, path: str, thresho
 def apply(scored: DataFrame, s1: DataFrame, path: str, tsv: str, cache: str | None = None, config: Config | None = None, force: bool = False) -> None:
     """Predict, decide, write; with ``cache``, the probabilities above the floor too."""
     fitted, _, threshold = model.load(path)
-    proba = model.predict(fitted, scored)
+    proba = stage(model.predict(fitted, scored))
     if cache:
         tables.write_parquet(decision.probability_cache(proba, (config or Config()).floor), cache, force)
     spine = s1.select(F.col("entity_id").alias("source1_entity_id"))
@@ -113,3 +124,16 @@ def variants(cache: DataFrame, s1: DataFrame, train_s1: DataFrame | None, specs:
         names.append(f"matching_results_{decision.variant_name(g, f)}")
         tables.write_tsv(decision.group_matches(decision.variant_pairs(cache, s1, unseen, g, f), spine), f"{target}/{names[-1]}", force)
     return names
+
+
+def smoke(found: DataFrame, s1: DataFrame, pool: DataFrame, config: Config | None = None, fit_rows: int = 30_000) -> dict:
+    """A quick look: fit on a few records, score, and report counts, quantiles, what each threshold accepts, and the ten best pairs."""
+    config = config or Config()
+    every = [s1, *(pool.where(F.col("src") == n) for n in SOURCES[1:])]
+    joined = stage(pairs.for_scoring(found.select("source1_entity_id", "candidate_id"), s1, pool))
+    scored = stage(pairs.features(joined, *vocabularies(every, fit_rows)))
+    missing = joined.agg(F.count(F.lit(1)).alias("pairs"), F.count_if(F.col("s1_norm_name") == "").alias("s1_names_missing"), F.count_if(F.col("cand_norm_name") == "").alias("cand_names_missing")).first()
+    spine = s1.select(F.col("entity_id").alias("source1_entity_id"))
+    preview = {t: decision.summary(decision.group_matches(accepted, spine), accepted).first().asDict() for t in config.thresholds for accepted in [stage(decision.accepted_pairs(scored, t))]}
+    best = scored.orderBy(F.desc("combined_score"), "source1_entity_id", "candidate_id").limit(10)
+    return missing.asDict() | {"quantiles": metrics.score_quantiles(scored).first().asDict(), "preview": preview, "best": [r.asDict() for r in best.collect()]}

@@ -25,7 +25,7 @@ def _grams(text: str) -> str:
     return f"flatten(list_transform(list_filter(string_split({text}, ' '), lambda w: w <> ''), {of_word}))"
 
 
-_BASE = f"docs_src AS ({views.DOCS}), parts_src AS ({views.PARTS}), truth AS ({views.TRUTH})"
+_BASE = f"docs_src AS ({views.DOCS}), parts_src AS ({views.PARTS}), doc_truth AS ({views.TRUTH}), truth AS ({views.PART_TRUTH})"
 _BASE += ", " + ", ".join(f"{t} AS (SELECT *, {_normal('business_name')} AS normalized_name, {_normal('business_address')} AS normalized_address FROM {t}_src)" for t in ("docs", "parts"))
 
 
@@ -102,18 +102,18 @@ def _tfidf(table: str, kind: str) -> str:
 
 _FLAGS = """CASE WHEN s1_norm_name = '' THEN 1 ELSE 0 END AS name_is_missing, CASE WHEN s1_norm_address = '' OR cand_norm_address = '' THEN 1 ELSE 0 END AS address_is_missing,
     CASE WHEN coalesce(s1_country, '') = coalesce(cand_country, '') THEN 1 ELSE 0 END AS country_match"""
-_PARTS = ", ".join([_BASE, _keyed("parts"), _candidates("parts", q.PART_LIMITS)])
-_DOCS = ", ".join([_BASE, _keyed("docs"), _candidates("docs", q.DOC_LIMITS)])
+_PARTS = ", ".join([_BASE, _keyed("parts"), _candidates("parts", q.LIMITS)])
+_GUARDED = ", ".join([_BASE, _keyed("parts"), _candidates("parts", q.GUARDED)])
 _SCORED = ", ".join(
     [
-        _DOCS, _tfidf("docs", "name"), _tfidf("docs", "address"),
+        _PARTS, _tfidf("parts", "name"), _tfidf("parts", "address"),
         f"""scored AS (
   SELECT p.source1_entity_id, p.candidate_id, round_even(coalesce(n.sim, 0), 4) AS name_similarity, round_even(coalesce(a.sim, 0), 4) AS address_similarity, {_FLAGS},
     round_even(0.6::DOUBLE * coalesce(n.sim, 0) + 0.4::DOUBLE * coalesce(a.sim, 0), 4) AS combined_score
-  FROM docs_pairs p LEFT JOIN docs_namev_sim n USING (source1_entity_id, candidate_id) LEFT JOIN docs_addressv_sim a USING (source1_entity_id, candidate_id)
+  FROM parts_pairs p LEFT JOIN parts_namev_sim n USING (source1_entity_id, candidate_id) LEFT JOIN parts_addressv_sim a USING (source1_entity_id, candidate_id)
 ), accepted AS (
   SELECT DISTINCT source1_entity_id, candidate_id FROM scored WHERE combined_score > {q.THRESHOLD} AND (starts_with(candidate_id, 'S2-') OR starts_with(candidate_id, 'S3-'))
-), spine AS (SELECT entity_id AS source1_entity_id, country FROM docs WHERE src = 1),
+), spine AS (SELECT entity_id AS source1_entity_id, country FROM parts WHERE src = 1),
 matched AS (
   SELECT source1_entity_id, coalesce(string_agg(candidate_id, ',' ORDER BY candidate_id), '') AS matched_entity_ids FROM spine LEFT JOIN accepted USING (source1_entity_id) GROUP BY source1_entity_id
 )""",
@@ -151,10 +151,11 @@ ORACLES = {
     "suffix_expand": f"WITH {_BASE} SELECT entity_id, {_expanded(chr(10).join(['lower(regexp_replace(business_name,', repr('[.&]') + ',', repr('') + ',', repr('g') + '))']))} AS expanded FROM parts_src",
     "name_key_list": f"WITH {_BASE}, {_keyed('parts')} SELECT entity_id, block_key, (row_number() OVER (PARTITION BY entity_id ORDER BY i) - 1)::INT AS i FROM (SELECT entity_id, k AS block_key, min(i) AS i FROM (SELECT entity_id, unnest(l) AS k, generate_subscripts(l, 1) AS i FROM parts_name) GROUP BY 1, 2)",
     "address_key_list": f"WITH {_BASE}, {_keyed('docs')} SELECT entity_id, block_key, (row_number() OVER (PARTITION BY entity_id ORDER BY i) - 1)::INT AS i FROM (SELECT entity_id, k AS block_key, min(i) AS i FROM (SELECT entity_id, unnest(l) AS k, generate_subscripts(l, 1) AS i FROM docs_address) GROUP BY 1, 2)",
-    "record_keys": f"WITH {_BASE}, {_keyed('parts')} SELECT entity_id, country, block_key, pos::INT AS pos FROM parts_keys WHERE src = 1",
+    "record_keys": f"WITH {_BASE}, {_keyed('parts')} SELECT entity_id, country, block_key, pos::INT AS pos FROM parts_keys",
     "block_stats": f"WITH {_BASE}, {_keyed('parts')} SELECT * FROM parts_stats",
-    "block_oversize": f"WITH {_BASE}, {_keyed('parts')} SELECT * FROM parts_stats WHERE n > {q.PART_LIMITS.max_block}",
+    "block_oversize": f"WITH {_BASE}, {_keyed('parts')} SELECT * FROM parts_stats WHERE n > {q.GUARDED.max_block}",
     "candidates_tiered_cap": f"WITH {_PARTS} SELECT source1_entity_id, candidate_id, rank::INT AS rank FROM parts_cand",
+    "candidates_guarded": f"WITH {_GUARDED} SELECT source1_entity_id, candidate_id, rank::INT AS rank FROM parts_cand",
     "candidates_compact": f"WITH {_PARTS} SELECT * FROM parts_compact",
     "pair_explode": f"WITH {_PARTS} SELECT source1_entity_id, unnest(string_split(candidate_entity_ids, ',')) AS candidate_id FROM parts_compact WHERE candidate_entity_ids <> ''",
     "pair_metadata_join": f"WITH {_PARTS} SELECT * FROM parts_pairs",
@@ -166,7 +167,7 @@ ORACLES = {
     "macro_f05_by_country": _macro("country"),
     "threshold_sweep": f"{_SWEEP} SELECT * FROM sweep",
     "threshold_argmax": f"{_SWEEP} SELECT threshold, f FROM sweep ORDER BY f DESC, position LIMIT 1",
-    "blocking_recall_rollup": f"""WITH {_DOCS}, hit AS (SELECT a.country, c.candidate_id IS NOT NULL AS ok FROM truth t LEFT JOIN docs_cand c ON c.source1_entity_id = t.source1_entity_id AND c.candidate_id = t.matched_id LEFT JOIN docs a ON a.entity_id = t.source1_entity_id)
+    "blocking_recall_rollup": f"""WITH {_PARTS}, hit AS (SELECT a.country, c.candidate_id IS NOT NULL AS ok FROM truth t LEFT JOIN parts_cand c ON c.source1_entity_id = t.source1_entity_id AND c.candidate_id = t.matched_id LEFT JOIN parts a ON a.entity_id = t.source1_entity_id)
 SELECT CASE WHEN grouping(country) = 1 THEN '(all)' ELSE coalesce(country, '') END AS country, count(*) AS n_truth, count(*) FILTER (WHERE ok) AS n_found, round_even(count(*) FILTER (WHERE ok) * 100.0::DOUBLE / count(*), 6) AS recall FROM hit GROUP BY ROLLUP (country)""",
     "candidate_size_stats": f"""WITH {_PARTS}, sizes AS (SELECT entity_id, count(candidate_id) AS size FROM parts LEFT JOIN parts_cand ON source1_entity_id = entity_id WHERE src = 1 GROUP BY entity_id), l AS (SELECT list(size ORDER BY size) AS s, count(*) AS n, avg(size) AS mean FROM sizes)
 SELECT round_even(mean, 6) AS mean, s[-1] AS largest, s[CAST(floor(n / 2) AS BIGINT) + 1] AS median, s[CAST(floor(n * 0.95::DOUBLE) AS BIGINT) + 1] AS p95 FROM l""",
@@ -175,10 +176,10 @@ SELECT round_even(mean, 6) AS mean, {", ".join(f"s[CAST(round((n - 1) * {p / 100
     "top10_scores": f"WITH {_SCORED} SELECT source1_entity_id, candidate_id, combined_score FROM scored ORDER BY combined_score DESC, source1_entity_id, candidate_id LIMIT 10",
     "embedding_cosine": """SELECT a.vec_id, CASE WHEN a.vec_id % 7 = 0 OR b.vec_id IS NULL THEN 0.0::DOUBLE ELSE round_even(list_sum(list_transform(range(1, len(a.embedding) + 1), lambda i: a.embedding[i]::DOUBLE * b.embedding[i]::DOUBLE)), 4) END AS emb_name_similarity
 FROM embeddings a LEFT JOIN embeddings b ON b.vec_id = a.vec_id + 1""",
-    "length_features": f"""WITH {_DOCS} SELECT source1_entity_id, candidate_id, {_FLAGS}, abs(length(s1_norm_name) - length(cand_norm_name))::DOUBLE AS name_len_diff,
-  round_even(least(length(s1_norm_name), length(cand_norm_name)) / greatest(length(s1_norm_name), length(cand_norm_name), 1), 6) AS name_len_ratio, abs(length(s1_norm_address) - length(cand_norm_address))::DOUBLE AS addr_len_diff FROM docs_pairs""",
+    "length_features": f"""WITH {_PARTS} SELECT source1_entity_id, candidate_id, {_FLAGS}, abs(length(s1_norm_name) - length(cand_norm_name))::DOUBLE AS name_len_diff,
+  round_even(least(length(s1_norm_name), length(cand_norm_name)) / greatest(length(s1_norm_name), length(cand_norm_name), 1), 6) AS name_len_ratio, abs(length(s1_norm_address) - length(cand_norm_address))::DOUBLE AS addr_len_diff FROM parts_pairs""",
     "unseen_countries": f"WITH {_BASE} SELECT DISTINCT country FROM docs_src WHERE src = 1 AND country IS NOT NULL AND country NOT IN ('en', 'fr')",
-    "variant_cutoffs": f"""WITH {_SCORED}, chosen AS (SELECT s.source1_entity_id, s.candidate_id FROM scored s JOIN spine USING (source1_entity_id) WHERE combined_score > 0.15 AND combined_score > CASE WHEN country IN ('en', 'fr') THEN {q.CUTOFF} ELSE {q.UNSEEN_CUTOFF} END)
+    "variant_cutoffs": f"""WITH {_SCORED}, chosen AS (SELECT s.source1_entity_id, s.candidate_id FROM scored s JOIN spine USING (source1_entity_id) WHERE combined_score > 0.15 AND combined_score > CASE WHEN country IN ('US', 'France') THEN {q.CUTOFF} ELSE {q.UNSEEN_CUTOFF} END)
 SELECT source1_entity_id, coalesce(string_agg(candidate_id, ',' ORDER BY candidate_id), '') AS matched_entity_ids FROM spine LEFT JOIN chosen USING (source1_entity_id) GROUP BY source1_entity_id""",
     "validate_output": f"""WITH {_PARTS}, results AS (
   SELECT source1_entity_id, CASE WHEN x % 11 = 0 THEN 'S2-1,S2-1' WHEN x % 13 = 0 THEN 'S1-3' ELSE candidate_entity_ids END AS ids FROM (SELECT *, CAST(substring(source1_entity_id, 4) AS BIGINT) AS x FROM parts_compact) WHERE x % 17 <> 0
@@ -190,8 +191,8 @@ UNION ALL SELECT 'id_repeated', 'error', count(*) FROM results WHERE ids <> '' A
 UNION ALL SELECT 'id_prefix', 'error', count(*) FROM each WHERE NOT (starts_with(id, 'S2-') OR starts_with(id, 'S3-'))
 UNION ALL SELECT 'id_unknown', 'warning', count(*) FROM each WHERE id NOT IN (SELECT entity_id FROM parts WHERE src > 1)
 UNION ALL SELECT 'not_a_candidate', 'warning', count(*) FROM each e WHERE NOT EXISTS (SELECT 1 FROM parts_cand c WHERE c.source1_entity_id = e.source1_entity_id AND c.candidate_id = e.id)""",
-    "label_pairs": f"WITH {_DOCS} SELECT source1_entity_id, candidate_id, CASE WHEN (source1_entity_id, candidate_id) IN (SELECT (source1_entity_id, matched_id) FROM truth) THEN 1 ELSE 0 END AS label FROM docs_cand",
-    "truth_semi_join": f"WITH {_BASE} SELECT * FROM truth WHERE source1_entity_id IN (SELECT entity_id FROM docs_src WHERE src = 1 ORDER BY ord LIMIT 100)",
+    "label_pairs": f"WITH {_PARTS} SELECT source1_entity_id, candidate_id, CASE WHEN (source1_entity_id, candidate_id) IN (SELECT (source1_entity_id, matched_id) FROM truth) THEN 1 ELSE 0 END AS label FROM parts_cand",
+    "truth_semi_join": f"WITH {_BASE} SELECT * FROM doc_truth WHERE source1_entity_id IN (SELECT entity_id FROM docs_src WHERE src = 1 ORDER BY ord LIMIT 100)",
     "unique_names": f"WITH {_BASE} SELECT DISTINCT normalized_name AS name FROM parts WHERE normalized_name <> ''",
     "decision_summary": f"WITH {_SCORED} SELECT (SELECT count(*) FROM accepted) AS n_pairs, count(*) FILTER (WHERE matched_entity_ids <> '') AS n_matched, round_even((SELECT count(*) FROM accepted) / count(*), 6) AS pairs_each FROM matched",
 }

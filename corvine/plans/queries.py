@@ -11,8 +11,9 @@ from corvine.operators import decision, metrics, model, pairs, retrieval, tfidf
 from corvine.plans import validate, views
 from corvine.sources.stages import stage
 
-PART_LIMITS = retrieval.Limits(cap=30, max_block=40, sample=10)
-DOC_LIMITS = retrieval.Limits(cap=150, max_block=1000, sample=20)
+LIMITS = retrieval.Limits(cap=150, max_block=1000, sample=20)
+#: Small limits, for the queries that show what the guards do.
+GUARDED = retrieval.Limits(cap=30, max_block=40, sample=10)
 THRESHOLD = 0.5
 THRESHOLDS = [0.30, 0.35, 0.40, 0.45, 0.50, 0.55, 0.60, 0.65, 0.70]
 CUTOFF, UNSEEN_CUTOFF = 0.35, 0.65
@@ -28,11 +29,11 @@ def _spine(s1: DataFrame) -> DataFrame:
 
 
 def _scored(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    s1, pool = _sides(views.docs(spark, d))
-    found = retrieval.retrieve(s1, pool, DOC_LIMITS).select("source1_entity_id", "candidate_id")
+    s1, pool = _sides(views.parts(spark, d))
+    found = retrieval.retrieve(s1, pool, LIMITS).select("source1_entity_id", "candidate_id")
     every = s1.unionByName(pool)
     joined = stage(pairs.for_scoring(found, s1, pool))
-    return stage(pairs.features(joined, stage(tfidf.fit(every, "normalized_name")), stage(tfidf.fit(every, "normalized_address")))), s1, pool
+    return pairs.features(joined, tfidf.fit(every, "normalized_name"), tfidf.fit(every, "normalized_address")), s1, pool
 
 
 def normalize_text(spark, d):
@@ -65,7 +66,8 @@ def address_key_list(spark, d):
 
 
 def record_keys(spark, d):
-    return retrieval.record_keys(_sides(views.parts(spark, d))[0]).select("entity_id", "country", "block_key", "pos")
+    s1, pool = _sides(views.parts(spark, d))
+    return retrieval.record_keys(s1.unionByName(pool)).select("entity_id", "country", "block_key", "pos")
 
 
 def block_stats(spark, d):
@@ -73,16 +75,20 @@ def block_stats(spark, d):
 
 
 def block_oversize(spark, d):
-    return block_stats(spark, d).where(F.col("n") > PART_LIMITS.max_block)
+    return block_stats(spark, d).where(F.col("n") > GUARDED.max_block)
 
 
 def candidates_tiered_cap(spark, d):
-    return retrieval.retrieve(*_sides(views.parts(spark, d)), PART_LIMITS)
+    return retrieval.retrieve(*_sides(views.parts(spark, d)), LIMITS)
+
+
+def candidates_guarded(spark, d):
+    return retrieval.retrieve(*_sides(views.parts(spark, d)), GUARDED)
 
 
 def candidates_compact(spark, d):
     s1, pool = _sides(views.parts(spark, d))
-    return retrieval.compact(s1, stage(retrieval.retrieve(s1, pool, PART_LIMITS)))
+    return retrieval.compact(s1, stage(retrieval.retrieve(s1, pool, LIMITS)))
 
 
 def pair_explode(spark, d):
@@ -91,7 +97,7 @@ def pair_explode(spark, d):
 
 def pair_metadata_join(spark, d):
     s1, pool = _sides(views.parts(spark, d))
-    return pairs.with_metadata(retrieval.retrieve(s1, pool, PART_LIMITS), s1, pool, include_normalized=True)
+    return pairs.with_metadata(retrieval.retrieve(s1, pool, LIMITS), s1, pool, include_normalized=True)
 
 
 def tfidf_vocab(spark, d):
@@ -101,7 +107,7 @@ def tfidf_vocab(spark, d):
 
 def tfidf_pair_cosine(spark, d):
     s1, pool = _sides(views.parts(spark, d))
-    found = stage(pairs.for_scoring(retrieval.retrieve(s1, pool, PART_LIMITS), s1, pool))
+    found = stage(pairs.for_scoring(retrieval.retrieve(s1, pool, LIMITS), s1, pool))
     like = tfidf.pair_cosine(found, "s1_norm_name", "cand_norm_name", stage(tfidf.fit(s1.unionByName(pool), "normalized_name")))
     return like.select("s1_norm_name", "cand_norm_name", F.bround("similarity", 4).alias("similarity"))
 
@@ -121,17 +127,17 @@ def _rounded(df: DataFrame, *columns: str) -> DataFrame:
 
 def macro_f05(spark, d):
     scored, s1, _ = _scored(spark, d)
-    return _rounded(metrics.macro_f(_spine(s1), views.truth(spark, d), decision.accepted_pairs(scored, THRESHOLD)), "f", "precision", "recall")
+    return _rounded(metrics.macro_f(_spine(s1), views.part_truth(spark, d), decision.accepted_pairs(scored, THRESHOLD)), "f", "precision", "recall")
 
 
 def macro_f05_by_country(spark, d):
     scored, s1, _ = _scored(spark, d)
-    return _rounded(metrics.macro_f(_spine(s1), views.truth(spark, d), decision.accepted_pairs(scored, THRESHOLD), "country"), "f", "precision", "recall")
+    return _rounded(metrics.macro_f(_spine(s1), views.part_truth(spark, d), decision.accepted_pairs(scored, THRESHOLD), "country"), "f", "precision", "recall")
 
 
 def threshold_sweep(spark, d):
     scored, s1, _ = _scored(spark, d)
-    return _rounded(metrics.threshold_sweep(_spine(s1), views.truth(spark, d), scored, THRESHOLDS), "f", "precision", "recall")
+    return _rounded(metrics.threshold_sweep(_spine(s1), views.part_truth(spark, d), scored, THRESHOLDS), "f", "precision", "recall")
 
 
 def threshold_argmax(spark, d):
@@ -139,17 +145,17 @@ def threshold_argmax(spark, d):
 
 
 def blocking_recall_rollup(spark, d):
-    s1, pool = _sides(views.docs(spark, d))
-    return _rounded(metrics.blocking_recall(views.truth(spark, d), retrieval.retrieve(s1, pool, DOC_LIMITS), s1), "recall")
+    s1, pool = _sides(views.parts(spark, d))
+    return _rounded(metrics.blocking_recall(views.part_truth(spark, d), retrieval.retrieve(s1, pool, LIMITS), s1), "recall")
 
 
 def candidate_size_stats(spark, d):
     s1, pool = _sides(views.parts(spark, d))
-    return _rounded(metrics.size_stats(_spine(s1).select("source1_entity_id"), retrieval.retrieve(s1, pool, PART_LIMITS)), "mean")
+    return _rounded(metrics.size_stats(_spine(s1).select("source1_entity_id"), retrieval.retrieve(s1, pool, LIMITS)), "mean")
 
 
 def score_quantiles(spark, d):
-    return _rounded(metrics.score_quantiles(_scored(spark, d)[0]), "mean")
+    return _rounded(metrics.score_quantiles(stage(_scored(spark, d)[0])), "mean")
 
 
 def top10_scores(spark, d):
@@ -164,18 +170,18 @@ def embedding_cosine(spark, d):
 
 
 def length_features(spark, d):
-    s1, pool = _sides(views.docs(spark, d))
-    found = retrieval.retrieve(s1, pool, DOC_LIMITS)
+    s1, pool = _sides(views.parts(spark, d))
+    found = retrieval.retrieve(s1, pool, LIMITS)
     return _rounded(pairs.length_features(pairs.for_scoring(found, s1, pool)), "name_len_ratio")
 
 
 def _train_countries(s1: DataFrame) -> DataFrame:
-    return s1.where("country in ('en', 'fr')")
+    return s1.where("country in ('US', 'France')")
 
 
 def unseen_countries(spark, d):
     s1 = views.docs(spark, d).where("src = 1")
-    return decision.unseen_countries(s1, _train_countries(s1))
+    return decision.unseen_countries(s1, s1.where("country in ('en', 'fr')"))
 
 
 def variant_cutoffs(spark, d):
@@ -187,7 +193,7 @@ def variant_cutoffs(spark, d):
 
 def validate_output(spark, d):
     s1, pool = _sides(views.parts(spark, d))
-    found = stage(retrieval.retrieve(s1, pool, PART_LIMITS))
+    found = stage(retrieval.retrieve(s1, pool, LIMITS))
     results = retrieval.compact(s1, found).withColumnRenamed("candidate_entity_ids", "matched_entity_ids")
     # Spoilt on purpose, so that rules have something to find.
     number = F.substring("source1_entity_id", 4, 20).cast("long")
@@ -196,8 +202,8 @@ def validate_output(spark, d):
 
 
 def label_pairs(spark, d):
-    s1, pool = _sides(views.docs(spark, d))
-    return metrics.labelled(retrieval.retrieve(s1, pool, DOC_LIMITS).select("source1_entity_id", "candidate_id"), views.truth(spark, d))
+    s1, pool = _sides(views.parts(spark, d))
+    return metrics.labelled(retrieval.retrieve(s1, pool, LIMITS).select("source1_entity_id", "candidate_id"), views.part_truth(spark, d))
 
 
 def truth_semi_join(spark, d):
@@ -212,13 +218,13 @@ def unique_names(spark, d):
 
 def decision_summary(spark, d):
     scored, s1, _ = _scored(spark, d)
-    accepted = decision.accepted_pairs(scored, THRESHOLD)
+    accepted = stage(decision.accepted_pairs(scored, THRESHOLD))
     return _rounded(decision.summary(decision.group_matches(accepted, _spine(s1).select("source1_entity_id")), accepted), "pairs_each")
 
 
 def gbt_scores(spark, d):
     scored, _, _ = _scored(spark, d)
-    rows = metrics.labelled(scored, views.truth(spark, d))
+    rows = stage(metrics.labelled(scored, views.part_truth(spark, d)))
     learn, _ = model.split_records(rows)
     return model.predict(model.train(learn, rounds=5, depth=3), rows)
 
@@ -226,7 +232,7 @@ def gbt_scores(spark, d):
 QUERIES = {
     f.__name__: f
     for f in (
-        normalize_text, suffix_expand, name_key_list, address_key_list, record_keys, block_stats, block_oversize, candidates_tiered_cap,
+        normalize_text, suffix_expand, name_key_list, address_key_list, record_keys, block_stats, block_oversize, candidates_tiered_cap, candidates_guarded,
         candidates_compact, pair_explode, pair_metadata_join, tfidf_vocab, tfidf_pair_cosine, pair_features, accept_group, macro_f05,
         macro_f05_by_country, threshold_sweep, threshold_argmax, blocking_recall_rollup, candidate_size_stats, score_quantiles, top10_scores,
         embedding_cosine, length_features, unseen_countries, variant_cutoffs, validate_output, label_pairs, truth_semi_join, unique_names,

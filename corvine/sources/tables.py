@@ -6,6 +6,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
+
+from corvine.sources.stages import stage
 
 SOURCE = T.StructType([T.StructField(c, T.StringType()) for c in ("entity_id", "business_name", "business_address", "country")])
 TRUTH = T.StructType([T.StructField(c, T.StringType()) for c in ("source1_entity_id", "matched_entity_ids")])
@@ -28,8 +31,20 @@ def read_tsv(spark: SparkSession, path: str, schema: T.StructType = SOURCE, blan
 
 
 def with_order(df: DataFrame, src: int) -> DataFrame:
-    """Add src and ord, which fix the order of records: within a file by position."""
-    return df.withColumn("src", F.lit(src)).withColumn("ord", F.monotonically_increasing_id())
+    """Add src and ord, which fix the order of records read from files: by file name, then by position in the file.
+
+    A reader packs pieces of files into tasks by size, so a row's place in its task is not its place in the file; pieces are ordered by
+    (file, first byte), one row a piece, and rows by their place in the piece.
+    """
+    at = F.monotonically_increasing_id()
+    try:
+        rows = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_from"), at.alias("_at"))
+    except AnalysisException:  # not read from files: the order of partitions
+        return df.withColumn("src", F.lit(src)).withColumn("ord", at)
+    pieces = rows.groupBy("_file", "_from").agg(F.min("_at").alias("_first"))
+    pieces = pieces.withColumn("_piece", F.row_number().over(Window.orderBy("_file", "_from")).cast("long"))
+    rows = rows.join(F.broadcast(pieces), ["_file", "_from"]).withColumn("src", F.lit(src))
+    return rows.withColumn("ord", F.shiftleft("_piece", 34) + F.col("_at") - F.col("_first")).select(*df.columns, "src", "ord")
 
 
 def head(df: DataFrame, n: int) -> DataFrame:
@@ -64,9 +79,9 @@ def write_parquet(df: DataFrame, path: str, force: bool = False, rows_a_file: in
         raise
 
 
-def write_tsv(df: DataFrame, path: str, force: bool = False, files: int | None = 1) -> None:
-    """Tab-separated, with a header, nothing quoted, empties truly empty. files: None leaves one file a partition."""
-    df = df.coalesce(files) if files else df
+def write_tsv(df: DataFrame, path: str, force: bool = False, files: int | None = None) -> None:
+    """Tab-separated, with a header, nothing quoted, empties truly empty; a file a partition, or ``files`` from the finished table."""
+    df = stage(df).coalesce(files) if files else df
     options = {"sep": "\t", "header": True, "emptyValue": "", "nullValue": "", "quote": "\u0000"}
     try:
         df.write.mode("overwrite" if force else "errorifexists").options(**options).csv(path)
@@ -76,15 +91,24 @@ def write_tsv(df: DataFrame, path: str, force: bool = False, files: int | None =
         raise
 
 
-def write_in_buckets(df: DataFrame, path: str, key: str, buckets: int) -> list[int]:
-    """Write the buckets of ``key`` that are not there yet, each by one atomic job; returns those written."""
+def write_in_buckets(df: DataFrame, path: str, key: str, buckets: int, only: int | None = None) -> list[int]:
+    """Write the buckets of ``key`` that are not finished yet, in one pass over df; returns their numbers.
+
+    A bucket counts as finished once the job that wrote it has ended, empty ones too. only: a trial of the first so many buckets.
+    """
     spark = df.sparkSession
-    part = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
-    done = []
-    for b in range(buckets):
-        target = f"{path}/bucket={b}"
-        hadoop = spark._jvm.org.apache.hadoop.fs.Path(f"{target}/_SUCCESS")
-        if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
-            df.where(part == b).write.mode("overwrite").parquet(target)
-            done.append(b)
-    return done
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_finished")
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    mark = lambda b: spark._jvm.org.apache.hadoop.fs.Path(folder, str(b))
+    todo = [b for b in range(buckets if only is None else min(only, buckets)) if not files.exists(mark(b))]
+    if todo:
+        rows = df.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")).where(F.col("bucket").isin(todo))
+        # What a lost job left of these buckets goes: a bucket is replaced as a whole.
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
+        for b in todo:
+            files.create(mark(b), True).close()
+    return todo
+
+
+def read_buckets(spark: SparkSession, path: str) -> DataFrame:
+    return read_parquet(spark, path).drop("bucket")
