@@ -83,7 +83,7 @@ def within(queries: DataFrame, index: DataFrame, radius: int = RADIUS) -> DataFr
         keys = F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in _masks()])
         return df.select("fp").distinct().select(F.col("fp").alias(name), F.posexplode(keys).alias("table", "key"))
 
-    met = keyed(queries, "q").join(keyed(index, "fp"), ["table", "key"])
+    met = keyed(queries, "q").hint("merge").join(keyed(index, "fp"), ["table", "key"])
     return met.where(F.bit_count(F.col("q").bitwiseXOR(F.col("fp"))) <= radius).select("q", "fp").distinct()
 
 
@@ -100,7 +100,7 @@ def with_next(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     key = ["did", "th"]
     after = places.select(((F.col("number") + n - 1) % n).alias("number"), F.col("did").alias("next_did"), F.col("th").alias("next_th"))
     before = places.select(((F.col("number") + 1) % n).alias("number"), F.col("did").alias("prev_did"), F.col("th").alias("prev_th"), F.col("tail").alias("wanted"))
-    places = durable(places.join(after, "number").join(before, "number"))
+    places = durable(places.join(after.hint("merge"), "number").join(before.hint("merge"), "number"))
     texts = rows.select(*key, "text")
     heads = texts.join(places.select(*key, "prev_did", "prev_th", "wanted").hint("shuffle_hash"), key)
     heads = heads.select(F.col("prev_did").alias("did"), F.col("prev_th").alias("th"), F.expr("substring(text, 1, wanted)").alias("after")).dropDuplicates(key)
