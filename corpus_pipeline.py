@@ -23,7 +23,10 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group linked at a Jaccard similarity of 0.8 or more, by five-word shingles, the smallest doc_id stays."""
+    """Of each group linked at a Jaccard similarity of 0.8 or more, by five-word shingles, the smallest doc_id stays.
+
+    SimHash finds the pairs at 3 or fewer differing bits by its Golay keys, and they are checked on the whole sets; a join finds the others.
+    """
     return similarity_join.deduplicated(docs)
 
 

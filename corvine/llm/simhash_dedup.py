@@ -61,6 +61,14 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(votes * 2 > n, bitorder="little").tobytes(), "little")
 
 
+def folded(hashes: np.ndarray) -> int:
+    """The fingerprint of a text by the hashes (uint64, repeats included) of all its shingles."""
+    votes = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), 16384):
+        votes += np.unpackbits(hashes[at : at + 16384].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return int.from_bytes(np.packbits(votes * 2 > len(hashes), bitorder="little").tobytes(), "little")
+
+
 def _fingerprints(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, "text"):
@@ -82,8 +90,6 @@ _TABLE: list[np.ndarray] = []
 def golay_index() -> np.ndarray:
     """The 12-bit codeword index that each 23-bit word decodes to. Built by rule once a process: 16 MB."""
     if not _TABLE:
-        words = np.arange(1 << 23, dtype=np.int32)
-
         def remainder(x: np.ndarray) -> np.ndarray:
             x = x.copy()
             for bit in range(22, 10, -1):
@@ -95,7 +101,11 @@ def golay_index() -> np.ndarray:
         fix = np.zeros(2048, np.int32)
         patterns = np.array(errors, np.int32)
         fix[remainder(patterns)] = patterns
-        _TABLE.append(((words ^ fix[remainder(words)]) >> 11).astype(np.uint16))
+        table = np.empty(1 << 23, np.uint16)
+        for at in range(0, len(table), 1 << 17):  # in pieces, as whole arrays on the way would take 200 MB in each worker
+            words = np.arange(at, at + (1 << 17), dtype=np.int32)
+            table[at : at + len(words)] = (words ^ fix[remainder(words)]) >> 11
+        _TABLE.append(table)
     return _TABLE[0]
 
 

@@ -1,7 +1,12 @@
-"""Near-dedup by an exact similarity join: documents whose sets of five-word shingles have a Jaccard similarity of 0.8 or more are linked.
+"""Near-dedup by SimHash and an exact similarity join: documents whose sets of five-word shingles have a Jaccard similarity of 0.8 or more are linked.
 
 Method. Words are those of SimHash (lower-cased, apart by ASCII white space); a text of one to four words is one shingle. Shingles are 64-bit
-hashes. Two sets at 0.8 or more share one of the first n - ceil(0.8 n) + 1 shingles of each, in any order that is the same for all
+hashes, and from the same hashes comes the text's SimHash. Fingerprints at 3 or fewer differing bits meet by their Golay keys
+(``simhash_dedup.links``), sets of one fingerprint meet its smallest; what meets is verified on the whole sets, so that a near fingerprint
+alone links nothing. The components of these links are the first ones.
+
+Fingerprints guarantee nothing at 0.8, most such pairs are more than 3 bits apart, so a join goes on from there: it tries only pairs of
+sets in different components. Two sets at 0.8 or more share one of the first n - ceil(0.8 n) + 1 shingles of each, in any order that is the same for all
 sets (prefix filter). The order is by hash, with shingles that many documents hold last, so that keys are rare ones; which ones are last comes
 from a sixteenth of the documents, chosen by hash, and moves work, never results. Rows (shingle, set) are dealt by shingle and streamed;
 pairs pass the length and the positional filter, then a bound by what their prefixes share, and are verified on the whole sets.
@@ -25,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvine.llm import components
+from corvine.llm import components, simhash_dedup
 from corvine.llm.common import durable, forget, sliced
 from corvine.llm.simhash_dedup import text_hash, without_copies
 
@@ -38,13 +43,15 @@ SMALL = 64
 ROUNDS = 3
 #: At most so many shingles are put last; they are held by OFTEN documents or more of one in SAMPLED.
 LAST, OFTEN, SAMPLED = 1 << 17, 4, 16
+#: Up to so many links one task finds the components.
+FEW = 1 << 18
 
 
-def shingle_set(text: str | None) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of a whole text's shingles."""
+def shingles(text: str | None) -> np.ndarray:
+    """64-bit hashes (unsigned) of a whole text's shingles, repeats included."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64)
     n = max(1, len(words) - SHINGLE + 1)
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
@@ -54,8 +61,13 @@ def shingle_set(text: str | None) -> np.ndarray:
     parts = []
     for at in range(0, n, 16384):
         cut = zip(starts[at : at + 16384].tolist(), stops[at : at + 16384].tolist(), strict=True)
-        parts.append(np.array([digest(joined[a:b], SEED) for a, b in cut], np.uint64).view(np.int64))
-    return np.unique(np.concatenate(parts))
+        parts.append(np.array([digest(joined[a:b], SEED) for a, b in cut], np.uint64))
+    return np.concatenate(parts)
+
+
+def shingle_set(text: str | None) -> np.ndarray:
+    """Sorted distinct hashes of a whole text's shingles, as signed longs."""
+    return np.unique(shingles(text).view(np.int64))
 
 
 def alike(nx, ny, common):
@@ -73,9 +85,11 @@ def _heads(last):
         by = np.argsort(often)
         known = often[by]
         for batch in sliced(batches, "text"):
-            ids, sizes, heads = [], [], []
+            prints, ids, sizes, heads = [], [], [], []
             for text in batch.column("text").to_pylist():
-                s = shingle_set(text)
+                h = shingles(text)
+                prints.append(simhash_dedup.folded(h))
+                s = np.unique(h.view(np.int64))
                 ids.append(set_id(s))
                 sizes.append(len(s))
                 rank = np.zeros(len(s), np.int64)
@@ -84,7 +98,8 @@ def _heads(last):
                     rank = np.where(known[at] == s, by[at] + 1, 0)
                     s = s[np.argsort(rank, kind="stable")]
                 heads.append(s[: len(s) - -(-UP * len(s) // DOWN) + 1].tobytes())
-            yield pa.record_batch([batch.column("doc_id"), batch.column("th"), pa.array(ids, pa.int64()), pa.array(sizes, pa.int32()), pa.array(heads, pa.binary())], ["doc_id", "th", "set_id", "n", "head"])
+            fps = np.array(prints, np.uint64).view(np.int64)
+            yield pa.record_batch([batch.column("doc_id"), batch.column("th"), pa.array(fps), pa.array(ids, pa.int64()), pa.array(sizes, pa.int32()), pa.array(heads, pa.binary())], ["doc_id", "th", "fp", "set_id", "n", "head"])
 
     return run
 
@@ -108,8 +123,8 @@ def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not sum(sizes):
             continue
         keys, pos = np.concatenate(heads), np.concatenate([np.arange(k, dtype=np.int32) for k in sizes])
-        ids, n = (np.repeat(batch.column(c).to_numpy(zero_copy_only=False), sizes) for c in ("set_id", "n"))
-        yield pa.record_batch([pa.array(x) for x in (keys, ids, n, pos)], ["key", "set_id", "n", "pos"])
+        ids, n, root = (np.repeat(batch.column(c).to_numpy(zero_copy_only=False), sizes) for c in ("set_id", "n", "root"))
+        yield pa.record_batch([pa.array(x) for x in (keys, ids, n, pos, root)], ["key", "set_id", "n", "pos", "root"])
 
 
 def _may(n: np.ndarray, pos: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -141,15 +156,16 @@ def _pairs(ids: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
 
 
 def _first(small: int):
-    """Pairs to verify, as (null, x, y, null, null); members of large runs, as (key, set_id, null, n, pos)."""
+    """Pairs of different components to verify, as (null, x, y, null, null); members of large runs of more than one component, as
+    (key, set_id, null, n, pos)."""
 
-    def judged(key, ids, n, pos) -> Iterator[pa.RecordBatch]:
+    def judged(key, ids, n, pos, root) -> Iterator[pa.RecordBatch]:
         start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
         size = np.diff(np.r_[start, len(key)])
         found, large = [], []
 
         def add(i: np.ndarray, j: np.ndarray) -> None:
-            ok = _may(n, pos, i, j)
+            ok = (root[i] != root[j]) & _may(n, pos, i, j)
             found.append(_pairs(ids, i[ok], j[ok]))
 
         for s in np.unique(size[size > 1]).tolist():
@@ -160,6 +176,7 @@ def _first(small: int):
                 for k in range(0, len(at), step):
                     add((at[k : k + step, None] + a).ravel(), (at[k : k + step, None] + b).ravel())
             else:
+                at = at[(root[at[:, None] + np.arange(s)] != root[at, None]).any(1)]
                 rows = (at[:, None] + np.arange(s)).ravel()
                 large.append(rows)
                 # The leader of each run, against all of the run; a set against itself is no pair.
@@ -257,6 +274,15 @@ def _checked(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     return out
 
 
+def _printed(docs: DataFrame, nodes: DataFrame, prints: DataFrame) -> DataFrame:
+    """(a, b): links of sets at 0.8 or more that meet by their fingerprints. prints: (set_id, fp); equal sets may have several."""
+    classes = durable(prints.groupBy("fp").agg(F.min("set_id").alias("lead")))
+    same = prints.join(classes, "fp").select(F.col("lead").alias("x"), F.col("set_id").alias("y"))
+    near = simhash_dedup.links(classes).toDF("fx", "fy")
+    near = near.join(classes.toDF("fx", "x"), "fx").join(classes.toDF("fy", "y"), "fy").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+    return _checked(docs, nodes, durable(same.unionByName(near).where("x <> y").distinct()))
+
+
 def near_duplicates(docs: DataFrame, small: int = SMALL) -> DataFrame:
     """doc_id, th (hash of the text), gid (the group's smallest set_id), component_id for every row of docs."""
     spark = docs.sparkSession
@@ -267,21 +293,25 @@ def near_duplicates(docs: DataFrame, small: int = SMALL) -> DataFrame:
     counted = docs.where(F.pmod("th", F.lit(SAMPLED)) == 0).select("text").mapInArrow(_shingles, "key long").groupBy("key").count()
     often = counted.where(F.col("count") >= OFTEN).orderBy(F.desc("count"), "key").limit(LAST).collect()
     last = spark.sparkContext.broadcast(np.array([r["key"] for r in reversed(often)], np.int64))
-    every = durable(docs.select("doc_id", "th", "text").mapInArrow(_heads(last), "doc_id long, th long, set_id long, n int, head binary"))
+    every = durable(docs.select("doc_id", "th", "text").mapInArrow(_heads(last), "doc_id long, th long, fp long, set_id long, n int, head binary"))
     did = F.coalesce("doc_id", F.lit((1 << 63) - 1))
     nodes = every.groupBy("set_id").agg(F.min(F.struct(did.alias("did"), F.col("th").alias("th"))).alias("one"), F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("head").alias("head"))
     nodes = durable(nodes.select("set_id", "one.did", "one.th", "least", "n", "head"))
     rows = durable(every.select("doc_id", "th", "set_id"))
+    prints = durable(every.select("set_id", "fp").distinct())
     forget(every)
-    keyed = nodes.select("set_id", "n", "head").mapInArrow(_keyed, "key long, set_id long, n int, pos int")
+    near = _printed(docs, nodes, prints)
+    roots = components.connected_components(near, FEW).toDF("set_id", "root")
+    keyed = nodes.join(roots, "set_id", "left").select("set_id", "n", "head", F.coalesce("root", "set_id").alias("root"))
+    keyed = keyed.mapInArrow(_keyed, "key long, set_id long, n int, pos int, root long")
     keyed = keyed.repartition(parts, "key").sortWithinPartitions("key", "n", "set_id")
     met = durable(keyed.mapInArrow(_first(small), "key long, x long, y long, n int, pos int"))
-    links = _checked(docs, nodes, durable(met.where("key is null").select("x", "y").distinct()))
+    links = near.unionByName(_checked(docs, nodes, durable(met.where("key is null").select("x", "y").distinct())))
     large = met.where("key is not null").select("key", F.col("x").alias("set_id"), "n", "pos")
     if not large.isEmpty():
         judges = [*[_led] * ROUNDS, _second]
         while judges:
-            roots = components.connected_components(links).toDF("set_id", "root")
+            roots = components.connected_components(links, FEW).toDF("set_id", "root")
             dealt = large.join(roots, "set_id", "left").select("key", "n", "set_id", "pos", F.coalesce("root", "set_id").alias("root"))
             dealt = dealt.repartition(parts, "key").sortWithinPartitions("key", "n", "set_id")
             more = durable(dealt.mapInArrow(judges.pop(0), "x long, y long").distinct())
@@ -289,7 +319,7 @@ def near_duplicates(docs: DataFrame, small: int = SMALL) -> DataFrame:
             if found.isEmpty():
                 judges = judges[-1:]  # leaders have no more to give: all pairs, then the end
             links = links.unionByName(found)
-    named = components.named(nodes.select(F.col("set_id").alias("node"), "least"), links).withColumnRenamed("node", "set_id")
+    named = components.named(nodes.select(F.col("set_id").alias("node"), "least"), links, FEW).withColumnRenamed("node", "set_id")
     return rows.join(named, "set_id").select("doc_id", "th", "gid", "component_id")
 
 
