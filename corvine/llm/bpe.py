@@ -28,7 +28,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvine.llm.common import sliced
+from corvine.llm.common import sliced, sole
 
 LONG, CACHE = 200, 250_000
 _NONE = 1 << 62
@@ -187,17 +187,6 @@ class Codec:
         return " ".join(map(self.strings.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-_CODEC: dict[int, Codec] = {}
-
-
-def _codec(raw: bytes) -> Codec:
-    """One codec, with its cache, for each file and Python process."""
-    key = hash(raw)
-    if key not in _CODEC:
-        _CODEC[key] = Codec(raw)
-    return _CODEC[key]
-
-
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -206,8 +195,10 @@ def tokenizer_path() -> str:
 
 def _run(sent, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(sent.value)
-        for batch in sliced(batches, "text", 4 << 20):
+        # One codec, with its cache, a Python worker, until tasks of another operator or file run there: it takes over 100 MB.
+        owner = ("bpe", hash(sent.value))
+        codec = sole(owner, lambda: Codec(sent.value))
+        for batch in sliced(batches, "text", 4 << 20, owner):
             rows = []
             for text in batch.column("text").to_pylist():
                 ids = codec.encode(text)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Hashable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -53,8 +55,23 @@ def forget(df: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def sliced(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that ``column`` holds about ``most_bytes`` in each; a longer single row stays whole."""
+_SOLE: dict[Hashable, Any] = {}
+
+
+def sole(owner: Hashable = None, make: Callable[[], Any] | None = None) -> Any:
+    """What an owner builds once for all its tasks in a Python worker. Workers outlive operators, so another owner's, or none's, ends it."""
+    if owner not in _SOLE:
+        if _SOLE:
+            _SOLE.clear()
+            gc.collect()  # for what refers to itself
+        if make:
+            _SOLE[owner] = make()
+    return _SOLE.get(owner)
+
+
+def sliced(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 8 << 20, owner: Hashable = None) -> Iterator[pa.RecordBatch]:
+    """Cut batches so that ``column`` holds about ``most_bytes`` in each; a longer single row stays whole. What is not ``owner``'s goes (``sole``)."""
+    sole(owner)
     for batch in batches:
         n = batch.num_rows
         if not n:

@@ -63,7 +63,11 @@ def counts(raw: bytes, dims: int = DIMS) -> np.ndarray:
 
 
 def damped(c: np.ndarray) -> np.ndarray:
-    return np.where(c > 0, 1 + np.log(np.maximum(c, 1)), 0).astype(np.float32)
+    out = np.maximum(c, 1).astype(np.float32, copy=False)
+    np.log(out, out=out)
+    out += 1
+    out *= c > 0
+    return out
 
 
 @dataclass
@@ -75,8 +79,10 @@ class Model:
     least: np.ndarray | None = None  # label -> smallest accepted cosine of a long text
 
     def vectors(self, raws: list[bytes]) -> np.ndarray:
-        v = damped(np.stack([counts(r) for r in raws])) * self.idf
-        return v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-9)
+        v = damped(np.stack([counts(r) for r in raws]))
+        v *= self.idf
+        v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-9)
+        return v
 
     def cosines(self, v: np.ndarray) -> np.ndarray:
         """Best cosine for each label."""
@@ -87,8 +93,8 @@ class Model:
         raws = [letters(t) for t in texts]
         at = [i for i, r in enumerate(raws) if r and self.labels]
         out: list[tuple[str, float, bool]] = [(UNKNOWN, 0.0, True)] * len(texts)
-        for k in range(0, len(at), 256):
-            part = at[k : k + 256]
+        for k in range(0, len(at), 64):  # 4 MB an array
+            part = at[k : k + 64]
             cos = self.cosines(self.vectors([raws[i] for i in part]))
             best = cos.argmax(1)
             share = np.exp(SHARPNESS * (cos - cos.max(1, keepdims=True)))

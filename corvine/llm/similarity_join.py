@@ -242,8 +242,7 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for a, b in zip(batch.column("mx"), batch.column("my"), strict=True):
             a, b = np.frombuffer(a.as_buffer(), np.int64), np.frombuffer(b.as_buffer(), np.int64)
             ok.append(bool(alike(len(a), len(b), len(np.intersect1d(a, b, assume_unique=True)))))
-        out = batch.filter(pa.array(ok, pa.bool_()))
-        yield pa.record_batch([out.column("a"), out.column("b")], ["a", "b"])
+        yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
 
 def _hopeful(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -253,8 +252,7 @@ def _hopeful(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for a, b, nx, ny in zip(batch.column("hx"), batch.column("hy"), batch.column("nx").to_pylist(), batch.column("ny").to_pylist(), strict=True):
             a, b = np.frombuffer(a.as_buffer(), np.int64), np.frombuffer(b.as_buffer(), np.int64)
             ok.append(bool(alike(nx, ny, len(np.intersect1d(a, b, assume_unique=True)) + max(nx - len(a), ny - len(b)))))
-        out = batch.filter(pa.array(ok, pa.bool_()))
-        yield pa.record_batch([out.column("x"), out.column("y")], ["x", "y"])
+        yield batch.select(["x", "y"]).filter(pa.array(ok, pa.bool_()))
 
 
 def _checked(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
