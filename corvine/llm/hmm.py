@@ -16,7 +16,7 @@ corpus; counts of all other words, needed for the base score and for the classes
 word: every word of every document counts, however large the vocabulary. Of words with equal counts the smaller come first.
 
 Defined cases. A null or empty text is one end. A null doc_id is not held out. Without training documents all counts are zero. Repeated
-rows train and are scored as often as they occur. Words over 32 bytes are told apart by a 128-bit hash. A task holds 40 bytes for each token
+rows train and are scored as often as they occur. Words over 32 bytes are told apart by a 128-bit hash. A task holds 80 bytes for each token
 of one text, or of ``TOGETHER`` tokens of several texts.
 """
 
@@ -63,6 +63,10 @@ class Tokens:
         hashed = pa.array([END + xxhash.xxh3_128_digest(w) for w in self.words.filter(long).to_pylist()], pa.binary())
         return pc.replace_with_mask(self.words, long, hashed)
 
+    def places(self, listed: pa.Array) -> np.ndarray:
+        """Of each distinct word its place in ``listed``, -1 where it isn't."""
+        return pc.fill_null(pc.index_in(self.words, value_set=listed), -1).to_numpy(zero_copy_only=False)
+
     def classes(self) -> np.ndarray:
         end = np.frombuffer(self.words.buffers()[1], np.int32)[self.words.offset :][: len(self.words) + 1].astype(np.int64)
         data = np.frombuffer(self.words.buffers()[2] or b"", np.uint8)
@@ -180,22 +184,25 @@ class Pieces:
         self.enter, self.leave = self.enter.astype(kind), self.leave.astype(kind)
 
 
+def _by_state(x: np.ndarray, kind: type) -> np.ndarray:
+    """A row a state: the recursions work on long rows, sequence beside sequence."""
+    return np.ascontiguousarray(x.T.astype(kind))
+
+
 def _matrices(model: Model, pieces: list[np.ndarray], kind: type) -> np.ndarray:
     """What each piece does to what enters it, but for a factor: emission, move, emission, and so on."""
     packed, k = Packed(pieces), len(model.start)
     # Emissions as multiples of their largest, so that a few steps without scaling neither vanish nor overflow.
-    emit, move = (model.emit / model.emit.max(1, keepdims=True)).astype(kind), model.move.astype(kind)
+    emit, move = _by_state(model.emit / model.emit.max(1, keepdims=True), kind), _by_state(model.move, kind)
     out = np.empty((len(pieces), k, k), kind)
-    m = np.broadcast_to(np.eye(k, dtype=kind), out.shape)
+    m = np.broadcast_to(np.eye(k, dtype=kind)[:, :, None], (k, k, len(pieces)))
     for t, (at, n) in enumerate(packed.spans):
-        m = m[:n] if not t else (m[:n].reshape(-1, k) @ move).reshape(-1, k, k)
-        m = m * emit[packed.sym[at : at + n]][:, None, :]
+        m = (m[:, :, :n] if not t else np.matmul(move, m[:, :, :n])) * emit[:, packed.sym[at : at + n]]
         if t % 8 == 7:
-            m /= m.sum((1, 2))[:, None, None]
-        done = n if t + 1 == len(packed.spans) else n - packed.spans[t + 1][1]
+            m /= m.sum((0, 1))
         stop = packed.spans[t + 1][1] if t + 1 < len(packed.spans) else 0
-        if done:
-            out[packed.order[stop:n]] = m[stop:]
+        if stop < n:
+            out[packed.order[stop:n]] = m[:, :, stop:].transpose(2, 0, 1)
     return out
 
 
@@ -204,12 +211,12 @@ def forward(model: Model, seqs: list[np.ndarray]) -> np.ndarray:
     pieces = Pieces(model, seqs, np.float64, False)
     packed = Packed(pieces.all)
     total = np.zeros(len(pieces.all))
+    emit, move = _by_state(model.emit, np.float64), _by_state(model.move, np.float64)
     a = None
     for at, n in packed.spans:
-        e = model.emit[packed.sym[at : at + n]]
-        a = (pieces.enter[packed.order] if a is None else a[:n] @ model.move) * e
-        c = a.sum(1)
-        a /= c[:, None]
+        a = (pieces.enter[packed.order].T if a is None else move @ a[:, :n]) * emit[:, packed.sym[at : at + n]]
+        c = a.sum(0)
+        a /= c
         total[:n] += np.log10(c)
     return np.bincount(pieces.owner, weights=total[packed.rank], minlength=len(seqs))
 
@@ -219,34 +226,37 @@ def expected(model: Model, seqs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarr
     k, kind = len(model.start), np.float32
     pieces = Pieces(model, seqs, kind, True)
     packed = Packed(pieces.all)
-    emit, move = model.emit.astype(kind), model.move.astype(kind)
-    alpha = emit[packed.sym]  # emissions first; each step turns its slice into the forward variables
+    emit, move = _by_state(model.emit, kind), _by_state(model.move, kind)
+    seen = np.empty((k, len(packed.sym)), kind)
+    for j in range(k):
+        np.take(emit[j], packed.sym, out=seen[j])
+    alpha = seen.copy()  # emissions first; each step turns its slice into the forward variables
     scale = np.empty(len(packed.sym), kind)
-    ones, prev = np.ones(k, kind), None
+    prev = None
     for at, n in packed.spans:
-        a = alpha[at : at + n]
-        a *= pieces.enter[packed.order] if prev is None else prev[:n] @ move
-        c = a @ ones
-        a /= c[:, None]
+        a = alpha[:, at : at + n]
+        a *= pieces.enter[packed.order].T if prev is None else move @ prev[:, :n]
+        c = a.sum(0)
+        a /= c
         scale[at : at + n], prev = c, a
+    seen /= scale
     # What leaves a piece at its end, scaled so that forward and backward variables multiply to one.
-    last = alpha[packed.at[packed.last] + np.arange(len(packed.last))]
-    leave = pieces.leave[packed.order]
-    leave /= (last * leave).sum(1)[:, None]
+    last = alpha[:, packed.at[packed.last] + np.arange(len(packed.last))]
+    leave = np.ascontiguousarray(pieces.leave[packed.order].T)
+    leave /= (last * leave).sum(0)
     moves = np.zeros((k, k))
-    after, back = np.zeros((0, k), kind), np.ascontiguousarray(move.T)  # after: emission times beta over scale of the next step
+    after, back = np.zeros((k, 0), kind), np.ascontiguousarray(move.T)  # after: emission times beta over scale of the next step
     for at, n in reversed(packed.spans):
-        a = alpha[at : at + n]
-        beta = np.concatenate([after @ back, leave[len(after) : n]])
-        moves += a[: len(after)].T @ after
-        after = emit[packed.sym[at : at + n]]
+        a, more = alpha[:, at : at + n], after.shape[1]
+        beta = np.concatenate([back @ after, leave[:, more:n]], 1)
+        moves += a[:, :more] @ after.T
+        after = seen[:, at : at + n]
         after *= beta
-        after /= scale[at : at + n, None]
         a *= beta
     inner = np.setdiff1d(np.arange(len(pieces.all)), pieces.first)  # pieces that another comes before
-    moves += last[packed.rank[inner - 1]].T @ after[packed.rank[inner]]
-    starts = alpha[packed.rank[pieces.first]].sum(0).astype(float)
-    emissions = np.stack([np.bincount(packed.sym, weights=alpha[:, j], minlength=len(emit)) for j in range(k)], 1)
+    moves += last[:, packed.rank[inner - 1]] @ after[:, packed.rank[inner]].T
+    starts = alpha[:, packed.rank[pieces.first]].sum(1).astype(float)
+    emissions = np.stack([np.bincount(packed.sym, weights=alpha[j], minlength=len(model.emit)) for j in range(k)], 1)
     return starts, moves * model.move, emissions, float(np.log10(scale).sum(dtype=float))
 
 
@@ -354,11 +364,12 @@ def _coded(sent):
     """Each text as an array of symbols, the end last."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        symbols = sent.value.symbols()
+        listed, end = pa.array(sent.value.words, pa.binary()), sent.value.words.index(END)
         for batch in sliced(batches, "text"):
             got = Tokens(batch.column("text"))
-            of = np.fromiter(map(symbols.__getitem__, got.words.to_pylist()), np.int32, len(got.words))
-            flat = np.full(len(got.code) + batch.num_rows, symbols[END], np.int32)
+            of = got.places(listed)
+            of = np.where(of >= 0, of, len(listed) + got.classes()).astype(np.int32)
+            flat = np.full(len(got.code) + batch.num_rows, end, np.int32)
             flat[np.arange(len(got.code)) + got.text] = of[got.code]
             stop = np.cumsum(got.lengths)
             seqs = [flat[a:b].tobytes() for a, b in zip((stop - got.lengths).tolist(), stop.tolist(), strict=True)]
@@ -398,10 +409,10 @@ def _rare(sent):
     """(did, th, key, tf) for the words without a symbol of their own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = sent.value.symbols()
+        listed = pa.array(sent.value.words, pa.binary())
         for batch in sliced(batches, "text"):
             got = Tokens(batch.column("text"))
-            rare = np.fromiter((w not in known for w in got.words.to_pylist()), bool, len(got.words))
+            rare = got.places(listed) < 0
             at = np.flatnonzero(rare[got.code])
             pair, tf = np.unique(got.text[at] * len(got.words) + got.code[at], return_counts=True)
             text, word = pa.array(pair // max(len(got.words), 1)), pa.array(pair % max(len(got.words), 1))
